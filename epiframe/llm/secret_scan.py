@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from epiframe.llm.common import new_path
+from epiframe.llm.common import new_path, staged
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,9 @@ def scan(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "
             raise
     unseen = blobs.dropDuplicates(["sha"])
     find(unseen, rules).select("sha", F.lit(version).alias("version"), "findings").write.mode("append").parquet(ledger)
-    found = spark.read.parquet(ledger).where((F.col("version") == version) & (F.size("findings") > 0)).dropDuplicates(["sha"]).select("sha", "findings")
+    found = spark.read.parquet(ledger).where((F.col("version") == version) & (F.size("findings") > 0)).select("sha", "findings")
+    # two scans at a time may both have entered a blob; written, so that AQE can split the join on a hot blob
+    found = staged(found.dropDuplicates(["sha"]), "secret-findings")
     none = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string>>")
     return paths.join(found, "sha", "left").select(id_col, "sha", F.coalesce("findings", none).alias("findings"))
 

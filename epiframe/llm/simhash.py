@@ -84,7 +84,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(fps.select("fp")))
     named = fps.join(roots, fps.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     names = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = named.join(names, "root").select("fp", "component_id")
+    # written, so that AQE can split the join on a fingerprint that a third of all documents have
+    named = staged(named.join(names, "root").select("fp", "component_id"), "simhash-names")
     return docs_fp.join(named, "fp").select(id_col, "fp", "component_id")
 
 
@@ -154,7 +155,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with_u = staged(pairs, "near-pairs").join(texts.select(F.col("_id").alias("u"), F.col("_text").alias("tu")), "u")
     with_v = with_u.join(texts.select(F.col("_id").alias("v"), F.col("_text").alias("tv")), "v").select("u", "v", "tu", "tv")
     roots = components(with_v.mapInArrow(verify, f"u {kind}, v {kind}"))
-    named = first.join(roots, first._first == roots.node, "left").select("_k", F.coalesce("root", "_first").alias("group_id"))
+    named = staged(first.join(roots, first._first == roots.node, "left").select("_k", F.coalesce("root", "_first").alias("group_id")), "near-names")
     return ids.join(named, "_k").select(F.col("_id").alias(id_col), "group_id").distinct()
 
 

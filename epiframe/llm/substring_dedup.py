@@ -163,9 +163,10 @@ def repeated_passages(
     ``id_col`` must be of an integer type.
     """
     all_seeds = seeds(docs, id_col, text_col, k, window)
-    common = all_seeds.groupBy("h").agg(F.min("doc").alias("hub"), F.max("doc").alias("last")).where("hub < last").select("h", "hub")
+    # written tables: AQE splits a hot key of a join only where no aggregate stands between join and shuffle
+    common = staged(all_seeds.groupBy("h").agg(F.min("doc").alias("hub"), F.max("doc").alias("last")).where("hub < last").select("h", "hub"), "passage-common")
     shared = staged(all_seeds.join(common, "h"), "passage-seeds")
-    hubs = shared.where("doc = hub").groupBy("h").agg(F.min("pos").alias("hub_pos"))
+    hubs = staged(shared.where("doc = hub").groupBy("h").agg(F.min("pos").alias("hub_pos")), "passage-hubs")
     anchors = shared.where("doc <> hub").join(hubs, "h").select("doc", "hub", "pos", "hub_pos")
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
