@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import BLANKS, ascii_lower, text_key
+from epiframe.llm.common import BLANKS, ascii_lower, staged, text_key
 
 
 def line_key(line: Column) -> Column:
@@ -47,8 +47,10 @@ def dedup_lines(
     else:
         each = keyed.select("_h", "_g", "_id").distinct()
         common = each.groupBy("_h", "_g").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).where(F.col("_n") >= min_docs)
+    # written: AQE splits the join on a hot line only where no aggregate stands between join and shuffle
+    common = staged(common.select("_h", "_g", "_first"), "line-common")
     drops = (
-        keyed.join(common.select("_h", "_g", "_first"), ["_h", "_g"])
+        keyed.join(common, ["_h", "_g"])
         .where(F.col("_id") != F.col("_first"))
         .groupBy("_id", "_t")
         .agg(F.array_sort(F.collect_set("_pos")).alias("_drop"))
