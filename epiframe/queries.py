@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_ORACLES: dict[str, str] = {}
+from epiframe import queries_align
+from epiframe.registry import ORACLES, QUERIES
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count()
+    return queries_align.asof_hold_summary(spark, sf_dir)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+def queries() -> dict:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return dict(ORACLES)
