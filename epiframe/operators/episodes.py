@@ -23,23 +23,24 @@ def degenerate(stream: DataFrame, key: str, ts: str = "ts", seq: str = "seq") ->
 
 
 def dedup_topics(topics: DataFrame, scope: str = "scope") -> tuple[DataFrame, DataFrame]:
-    """Topics of one scope with equal name, span and count are one recording: the lowest file id's stays. (kept, groups)
+    """Topics of one scope with equal name, span and count are one recording: the lowest file id's stays. (kept, dropped)
 
-    Groups have ``kept_file_id``, ``dropped`` (file ids) and ``n_dropped``. The lowest is found by an aggregate,
-    so a signature that many files share needs no sort in one task.
+    Dropped rows carry ``kept_file_id``. The lowest is found by an aggregate and joined back from a written-out
+    exchange, so a signature that many files share needs no sort or list in one task.
     """
     sig = [scope, "name", "start_ns", "end_ns", "message_count"]
-    firsts = topics.groupBy(*sig).agg(F.min("file_id").alias("_first"), F.count("*").alias("_n"), F.collect_set("file_id").alias("_all"))
-    same = [topics[c].eqNullSafe(firsts[c]) for c in sig] + [topics.file_id == firsts._first]
-    kept = topics.join(firsts.select(*sig, "_first"), same, "left_semi")
-    kept = kept.dropDuplicates([*sig, "file_id"])
-    groups = firsts.where("_n > 1").select(*sig, F.col("_first").alias("kept_file_id"), F.array_sort(F.array_remove("_all", F.col("_first"))).alias("dropped"), (F.col("_n") - 1).alias("n_dropped"))
-    return kept, groups
+    firsts = topics.groupBy(*[F.col(c).alias(f"_{c}") for c in sig]).agg(F.min("file_id").alias("kept_file_id"))
+    same = [topics[c].eqNullSafe(firsts[f"_{c}"]) for c in sig]
+    rows = topics.join(firsts, same).drop(*[f"_{c}" for c in sig])
+    kept = rows.where("file_id = kept_file_id").drop("kept_file_id").dropDuplicates([*sig, "file_id"])
+    return kept, rows.where("file_id <> kept_file_id")
 
 
-def dedup_rollup(groups: DataFrame) -> DataFrame:
+def dedup_rollup(dropped: DataFrame, scope: str = "scope") -> DataFrame:
     """``n_groups, topics_dropped, files_affected``."""
-    return groups.agg(F.count("*").alias("n_groups"), F.coalesce(F.sum("n_dropped"), F.lit(0)).alias("topics_dropped"), F.coalesce(F.sum(F.size("dropped")), F.lit(0)).cast("long").alias("files_affected"))
+    per = dropped.groupBy(scope, "name", "start_ns", "end_ns", "message_count").agg(F.count("*").alias("n"))
+    files = dropped.agg(F.count_distinct("file_id"))
+    return per.agg(F.count("*").alias("n_groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("topics_dropped")).withColumn("files_affected", files.scalar())
 
 
 def bind_roles(specs: DataFrame, files: DataFrame) -> DataFrame:
