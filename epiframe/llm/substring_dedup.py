@@ -34,10 +34,16 @@ from epiframe.llm.decontaminate import words_of
 
 #: Words that are fetched beyond a chain's ends, to stretch them.
 MARGIN = 40
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def minimizers(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (signed) and word positions of the seeds; runs of one hash give its first position."""
+    """Hashes (signed) and word positions of the seeds.
+
+    Where one hash is the minimum over and over, as in a repeated word or line, it is a seed once a window. A hash that
+    occurs again in the text is also a seed under its ordinal, so that the second repeat meets another
+    text's second repeat, and repetitive passages chain like others.
+    """
     n = len(words) - k + 1
     if n < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
@@ -46,8 +52,20 @@ def minimizers(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.
         at = np.array([h.argmin()])
     else:
         at = np.unique(np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1) + np.arange(n - window + 1))
-    keep = np.append(True, h[at][1:] != h[at][:-1])
-    return h[at][keep].view(np.int64), at[keep].astype(np.int32)
+    h = h[at]
+    new_run = np.append(True, h[1:] != h[:-1])
+    run_start = at[np.flatnonzero(new_run)][np.cumsum(new_run) - 1]
+    step = (at - run_start) // window
+    keep = new_run | np.append(True, step[1:] != step[:-1])
+    h, at = h[keep], at[keep]
+    order = np.argsort(h, kind="stable")
+    ranked = h[order]
+    first = np.append(True, ranked[1:] != ranked[:-1])
+    ordinal = np.empty(len(h), np.uint64)
+    ordinal[order] = np.arange(len(h)) - np.flatnonzero(first)[np.cumsum(first) - 1]
+    again = ordinal > 0
+    h = np.concatenate([h, (h[again] ^ (ordinal[again] * _GOLD)) * _GOLD])
+    return h.view(np.int64), np.concatenate([at, at[again]]).astype(np.int32)
 
 
 class Fenwick:

@@ -161,6 +161,22 @@ def test_passages_empty(spark):
     assert substring_dedup.repeated_passages(fx.empty(spark)).count() == 0
 
 
+def test_repetitive_passages(spark):
+    """Repeated words and lines, with periods from 1 to 40 words, chain like other passages."""
+    import random
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for i, period in enumerate((1, 2, 3, 7, 15, 17, 25, 40)):
+        unit = " ".join(word() for _ in range(period))
+        repeated = " ".join([unit] * (120 // period + 1))
+        rows += [(10 * i + j, " ".join(word() for _ in range(30 + 7 * j)) + " " + repeated + " " + " ".join(word() for _ in range(30))) for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.other_id) for r in substring_dedup.repeated_passages(docs).collect()}
+    assert found == {(10 * i + j, 10 * i) for i in range(8) for j in (1, 2)}
+
+
 def test_edits():
     w = lambda s: list(s)
     assert substring_dedup.edits(w("kitten"), w("sitting")) == 3
