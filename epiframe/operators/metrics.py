@@ -11,6 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +37,7 @@ def pooled_quantiles(rows: DataFrame, column: str, ps: tuple[float, ...], by: li
     """
     by = by or []
     data = rows.select(*by, finite(F.col(column)).cast("double").alias("_x")).where("_x IS NOT NULL")
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)  # read once a pass; a lost part is computed again
     ends = {tuple(r[b] for b in by): (r.lo, r.hi, r.n) for r in data.groupBy(*by).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.count("*").alias("n")).collect() if r.n}
     # rank wanted -> [lo, hi] that holds it, rows below lo, rows inside
     open_ = {(g, k): (lo, hi, 0, n) for g, (lo, hi, n) in ends.items() for p in ps for k in {int((n - 1) * p), min(int((n - 1) * p) + 1, n - 1)}}
@@ -63,6 +65,7 @@ def pooled_quantiles(rows: DataFrame, column: str, ps: tuple[float, ...], by: li
                     open_[key] = (b_lo, b_hi, below, b_n)
                     break
                 below += b_n
+    data.unpersist()
     out = {}
     for g, (_, _, n) in ends.items():
         out[g] = []

@@ -139,10 +139,10 @@ s AS (SELECT k.episode, k.dim, k.n, k.lag, sum(p.x * q.x) AS s FROM k JOIN c p O
 r AS (SELECT episode, dim, n, lag, s / first_value(s) OVER (PARTITION BY episode, dim ORDER BY lag) AS r FROM s)"""
 
 
-@query(_acf_sql("action").replace("CASE_CAP", "least(n // 2, 100)") + " SELECT episode, dim, lag::INT AS lag, round(r, 5) AS r FROM r")
+@query(_acf_sql("action").replace("CASE_CAP", "least(n // 2, 100)") + " SELECT episode, dim, lag::INT AS lag, round(r, 5) + 0.0 AS r FROM r")
 def action_acf(spark, sf_dir):
     """Autocorrelation curves of actions."""
-    return M.action_acf(long(spark, sf_dir)).select("episode", "dim", "lag", F.round("r", 5).alias("r"))
+    return M.action_acf(long(spark, sf_dir)).select("episode", "dim", "lag", (F.round("r", 5) + 0.0).alias("r"))  # no negative zeros
 
 
 @query(_acf_sql("state").replace("CASE_CAP", "least(n // 4, 20)") + """, z AS (SELECT episode, dim, min(lag) FILTER (r < 0) AS z, min(lag) FILTER (r < 0.5) AS half FROM r GROUP BY ALL)
