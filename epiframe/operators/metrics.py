@@ -55,10 +55,10 @@ def pooled_quantiles(rows: DataFrame, column: str, ps: tuple[float, ...], by: li
             return reduce(Column.__and__, [F.col(b).eqNullSafe(F.lit(v)) for b, v in zip(by, g)], F.col("_x").between(lo, hi))
 
         parts = [F.when(inside(g, lo, hi), F.struct(F.lit(i).alias("i"), F.when(F.lit(n <= few), F.col("_x")).otherwise(F.least(F.floor((F.col("_x") - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("double")).alias("b"))) for i, (g, lo, hi, n) in enumerate(spans)]
-        hit = data.select("_x", F.explode(F.filter(F.array(*parts), lambda s: s.isNotNull())).alias("s"))
+        hit = data.select("_x", F.explode(F.array(*parts)).alias("s")).where("s IS NOT NULL").select("_x", F.col("s.i").alias("i"), F.col("s.b").alias("b"))
         counts: dict[int, list] = {}
-        for r in hit.groupBy("s").agg(F.count("*").alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect():
-            counts.setdefault(r.s.i, []).append((r.s.b, r.lo, r.hi, r.n))
+        for r in hit.groupBy("i", "b").agg(F.count("*").alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect():
+            counts.setdefault(r.i, []).append((r.b, r.lo, r.hi, r.n))
         for key, (lo, hi, below, n) in list(open_.items()):
             for _, b_lo, b_hi, b_n in sorted(counts[spans.index((key[0], lo, hi, n))]):
                 if key[1] < below + b_n:
