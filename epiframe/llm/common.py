@@ -2,47 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from epiframe.sources.shared import discard, new_path, shared_dir, staged  # noqa: F401
+
 #: The white space that separates words in the contracts, as trim characters.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share.
-
-    It is ``spark.checkpoint.dir`` of the session. Only a local session may lack it; it then gets a
-    temporary folder, kept for the session's life.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    made = spark.sparkContext.getCheckpointDir()
-    if made is None:
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="epiframe-"))
-        made = spark.sparkContext.getCheckpointDir()
-    return made.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nobody uses yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, which cuts the lineage."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
