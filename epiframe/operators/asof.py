@@ -13,8 +13,6 @@ the earlier of two at the same distance.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,27 +27,35 @@ def timeline(episodes: DataFrame, key: str, step_ns: int, start: str = "start_ns
     return rows.select(key, "frame", (F.col("_s") + F.col("frame") * step_ns).alias("ts"))
 
 
-def _beside(grid: DataFrame, stream: DataFrame, key: str, values: list[str], forward: bool, slice_ns: int | None) -> DataFrame:
-    """Grid rows with ``_hit``: struct of ``ts`` and values of the sample before (or after) each."""
-    hit = F.struct("ts", *values)
-    kind = f"struct<ts:bigint,{','.join(f'`{v}`:{stream.schema[v].dataType.simpleString()}' for v in values)}>"
-    cut = F.expr(f"ts div {int(slice_ns)}") if slice_ns else F.lit(0).cast("long")
-    rows = grid.select(key, "frame", "ts", F.lit(1).alias("_grid"), F.lit(None).cast("long").alias("seq"), F.lit(None).cast(kind).alias("_own")).unionByName(
-        stream.select(key, F.lit(None).cast("long").alias("frame"), "ts", F.lit(0).alias("_grid"), F.col("seq").cast("long").alias("seq"), hit.cast(kind).alias("_own"))
-    ).withColumn("_cut", cut)
-    order = [F.col("ts").desc(), F.col("_grid"), F.col("seq").desc()] if forward else [F.col("ts"), F.col("_grid"), F.col("seq")]
-    run = Window.partitionBy(key, "_cut").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    found = rows.withColumn("_hit", F.last("_own", ignorenulls=True).over(run)).where("_grid = 1").select(key, "frame", "ts", "_cut", "_hit")
+def _sweep(grid: DataFrame, streams: dict[str, tuple[DataFrame, list[str], set[str]]], key: str, slice_ns: int | None) -> DataFrame:
+    """Grid rows with ``_<side>_<name>``: struct of ``ts`` and values of the sample beside each, by stream.
+
+    ``streams``: name to (stream, value columns, sides of ``back`` and ``ahead``). All streams share one exchange by
+    key and slice, and one sort a direction, however many there are.
+    """
+    rows = grid.select(key, "frame", "ts", F.lit(1).alias("_grid"), F.lit(None).cast("long").alias("seq"))
+    for name, (stream, values, _) in streams.items():
+        own = stream.select(key, "ts", F.lit(0).alias("_grid"), F.col("seq").cast("long").alias("seq"), F.struct("ts", *values).alias(f"_own_{name}"))
+        rows = rows.unionByName(own, allowMissingColumns=True)
+    rows = rows.withColumn("_cut", F.expr(f"ts div {int(slice_ns)}") if slice_ns else F.lit(0).cast("long"))
+    order = {"back": [F.col("ts"), F.col("_grid"), F.col("seq")], "ahead": [F.col("ts").desc(), F.col("_grid"), F.col("seq").desc()]}
+    run = {side: Window.partitionBy(key, "_cut").orderBy(*o).rowsBetween(Window.unboundedPreceding, 0) for side, o in order.items()}
+    wanted = [(side, name) for name, (_, _, sides) in streams.items() for side in sorted(sides)]
+    hits = [F.last(f"_own_{name}", ignorenulls=True).over(run[side]).alias(f"_{side}_{name}") for side, name in wanted]
+    found = rows.select(key, "frame", "ts", "_grid", "_cut", *hits).where("_grid = 1").drop("_grid")
     if not slice_ns:
         return found.drop("_cut")
-    when = F.when(F.col("_grid") == 0, F.struct("ts", "seq"))  # grid rows have no sample to leave
-    best = F.min_by("_own", when) if forward else F.max_by("_own", when)
-    ends = rows.groupBy(key, "_cut").agg(best.alias("_end"))
-    order = F.col("_cut").desc() if forward else F.col("_cut")
-    past = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(F.col(key).alias("_k"), F.col("_cut").alias("_c"), F.last("_end", ignorenulls=True).over(past).alias("_carry"))
+
+    def end(side: str, name: str) -> Column:
+        own = F.col(f"_own_{name}")
+        at = F.when(own.isNotNull(), F.struct("ts", "seq"))  # other rows have no sample of this stream to leave
+        return (F.max_by(own, at) if side == "back" else F.min_by(own, at)).alias(f"_{side}_{name}")
+
+    ends = rows.groupBy(key, "_cut").agg(*[end(*w) for w in wanted])
+    past = {side: Window.partitionBy(key).orderBy(F.col("_cut") if side == "back" else F.col("_cut").desc()).rowsBetween(Window.unboundedPreceding, -1) for side in order}
+    carried = ends.select(F.col(key).alias("_k"), F.col("_cut").alias("_c"), *[F.last(f"_{s}_{n}", ignorenulls=True).over(past[s]).alias(f"_carry_{s}_{n}") for s, n in wanted])
     joined = found.join(carried, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_cut") == F.col("_c")), "left")
-    return joined.select(key, "frame", "ts", F.coalesce("_hit", "_carry").alias("_hit"))
+    return joined.select(key, "frame", "ts", *[F.coalesce(f"_{s}_{n}", f"_carry_{s}_{n}").alias(f"_{s}_{n}") for s, n in wanted])
 
 
 def _within(hit: Column, distance: Column, tolerance_ns: int | None) -> Column:
@@ -57,28 +63,51 @@ def _within(hit: Column, distance: Column, tolerance_ns: int | None) -> Column:
     return F.when(near, hit)
 
 
-def asof(grid: DataFrame, stream: DataFrame, key: str, values: list[str], direction: str = "backward", tolerance_ns: int | None = None, slice_ns: int | None = None) -> DataFrame:
-    """Grid plus ``values`` and ``sample_ts`` of the sample ``backward`` (at or before) or ``forward`` (at or after)."""
-    forward = direction == "forward"
-    found = _beside(grid, stream, key, values, forward, slice_ns)
-    hit = F.col("_hit")
-    gap = hit["ts"] - F.col("ts") if forward else F.col("ts") - hit["ts"]
-    found = found.withColumn("_hit", _within(hit, gap, tolerance_ns))
-    return found.select(key, "frame", "ts", F.col("_hit.ts").alias("sample_ts"), *[F.col(f"_hit.`{v}`").alias(v) for v in values])
+#: Which neighbours a method looks at.
+SIDES = {"hold": {"back"}, "forward": {"ahead"}, "nearest": {"back", "ahead"}, "linear": {"back", "ahead"}}
 
 
-def _both(grid: DataFrame, stream: DataFrame, key: str, values: list[str], tolerance_ns: int | None, slice_ns: int | None) -> DataFrame:
-    back = _beside(grid, stream, key, values, False, slice_ns).withColumnRenamed("_hit", "_b")
-    ahead = _beside(grid, stream, key, values, True, slice_ns).select(F.col(key).alias("_k"), F.col("frame").alias("_f"), F.col("_hit").alias("_a"))
-    both = back.join(ahead, F.col(key).eqNullSafe(F.col("_k")) & (F.col("frame") == F.col("_f"))).drop("_k", "_f")
-    return both.withColumn("_b", _within(F.col("_b"), F.col("ts") - F.col("_b.ts"), tolerance_ns)).withColumn("_a", _within(F.col("_a"), F.col("_a.ts") - F.col("ts"), tolerance_ns))
+def _chosen(name: str, method: str, values: dict[str, str], tolerance_ns: int | None) -> dict[str, Column]:
+    """Columns of one stream after a sweep: each value, and ``sample_ts`` where one sample is taken."""
+    ts = F.col("ts")
+    if "back" in SIDES[method]:
+        b = F.col(f"`_back_{name}`")
+        b = _within(b, ts - b["ts"], tolerance_ns)
+    if "ahead" in SIDES[method]:
+        a = F.col(f"`_ahead_{name}`")
+        a = _within(a, a["ts"] - ts, tolerance_ns)
+    if method == "linear":
+        span = a["ts"] - b["ts"]
+        at = F.when(span == 0, F.lit(0.0)).otherwise((ts - b["ts"]) / F.nullif(span, F.lit(0)))
+
+        def mixed(v: str, kind: str) -> Column:
+            if kind == "array":
+                both = F.zip_with(b[v], F.transform(a[v], lambda y: F.struct(y.alias("y"), at.alias("at"))), lambda x, p: x + (p["y"] - x) * p["at"])
+            else:
+                both = b[v] + (a[v] - b[v]) * at
+            return F.when(b.isNull(), a[v]).when(a.isNull() | (at == 0), b[v]).otherwise(both)
+
+        return {v: mixed(v, kind) for v, kind in values.items()}
+    if method == "nearest":
+        hit = F.when(b.isNotNull() & (a.isNull() | (ts - b["ts"] <= a["ts"] - ts)), b).otherwise(a)
+    else:
+        hit = b if method == "hold" else a
+    return {"sample_ts": hit["ts"], **{v: hit[v] for v in values}}
+
+
+def _one(grid: DataFrame, stream: DataFrame, key: str, values: list[str], method: str, tolerance_ns: int | None, slice_ns: int | None) -> DataFrame:
+    kinds = {v: stream.schema[v].dataType.typeName() for v in values}
+    swept = _sweep(grid, {"s": (stream, values, SIDES[method])}, key, slice_ns)
+    return swept.select(key, "frame", "ts", *[c.alias(n) for n, c in _chosen("s", method, kinds, tolerance_ns).items()])
+
+
+def asof(grid: DataFrame, stream: DataFrame, key: str, values: list[str], direction: str = "backward", tolerance_ns: int | None = None, slice_ns: int | None = None) -> DataFrame:
+    """Grid plus ``values`` and ``sample_ts`` of the sample ``backward`` (at or before) or ``forward`` (at or after)."""
+    return _one(grid, stream, key, values, "forward" if direction == "forward" else "hold", tolerance_ns, slice_ns)
 
 
 def nearest(grid: DataFrame, stream: DataFrame, key: str, values: list[str], tolerance_ns: int | None = None, slice_ns: int | None = None) -> DataFrame:
-    both = _both(grid, stream, key, values, tolerance_ns, slice_ns)
-    earlier = F.col("_a").isNull() | (F.col("ts") - F.col("_b.ts") <= F.col("_a.ts") - F.col("ts"))
-    hit = F.when(F.col("_b").isNotNull() & earlier, F.col("_b")).otherwise(F.col("_a"))
-    return both.withColumn("_hit", hit).select(key, "frame", "ts", F.col("_hit.ts").alias("sample_ts"), *[F.col(f"_hit.`{v}`").alias(v) for v in values])
+    return _one(grid, stream, key, values, "nearest", tolerance_ns, slice_ns)
 
 
 def linear(grid: DataFrame, stream: DataFrame, key: str, values: list[str], tolerance_ns: int | None = None, slice_ns: int | None = None) -> DataFrame:
@@ -86,19 +115,7 @@ def linear(grid: DataFrame, stream: DataFrame, key: str, values: list[str], tole
 
     Values are doubles or arrays of them. The fraction is of exact nanosecond differences.
     """
-    both = _both(grid, stream, key, values, tolerance_ns, slice_ns)
-    span = F.col("_a.ts") - F.col("_b.ts")
-    at = F.when(span == 0, F.lit(0.0)).otherwise((F.col("ts") - F.col("_b.ts")) / F.nullif(span, F.lit(0)))
-
-    def mixed(v: str) -> Column:
-        b, a = F.col(f"_b.`{v}`"), F.col(f"_a.`{v}`")
-        if stream.schema[v].dataType.typeName() == "array":
-            both_sides = F.zip_with(b, a, lambda x, y: x + (y - x) * F.col("_at"))
-        else:
-            both_sides = b + (a - b) * F.col("_at")
-        return F.when(F.col("_b").isNull(), a).when(F.col("_a").isNull() | (F.col("_at") == 0), b).otherwise(both_sides)
-
-    return both.withColumn("_at", at).select(key, "frame", "ts", *[mixed(v).alias(v) for v in values])
+    return _one(grid, stream, key, values, "linear", tolerance_ns, slice_ns)
 
 
 def exact(grid: DataFrame, stream: DataFrame, key: str, values: list[str]) -> DataFrame:
@@ -124,10 +141,22 @@ def align(grid: DataFrame, stream: DataFrame, key: str, values: list[str], metho
 def align_all(grid: DataFrame, streams: dict[str, tuple[DataFrame, str, float | None]], key: str, slice_ns: int | None = None) -> DataFrame:
     """Grid plus one column per stream: name to (stream with a column ``values``, method, tolerance in ms).
 
-    Each stream's as-of result is keyed by (key, frame); the joins share that partitioning.
+    All but exact streams are aligned in one sweep; exact ones are joined, and their repeats repeat rows.
     """
-    parts = []
-    for name, (stream, method, tolerance) in streams.items():
-        part = align(grid, stream, key, ["values"], method, tolerance, slice_ns)
-        parts.append(part.select(F.col(key).alias("_k"), F.col("frame").alias("_f"), F.col("values").alias(name)))
-    return reduce(lambda g, p: g.join(p, F.col(key).eqNullSafe(F.col("_k")) & (F.col("frame") == F.col("_f")), "left").drop("_k", "_f"), parts, grid)
+    for name, (_, method, _) in streams.items():
+        if method not in METHODS:
+            raise ValueError(f"{name}: unknown alignment method {method!r}; known: {', '.join(METHODS)}")
+    swept = {f"s{i}": (name, *spec) for i, (name, spec) in enumerate(streams.items()) if spec[1] != "none"}
+    out = grid.select(key, "frame", "ts")
+    if swept:
+        out = _sweep(grid, {k: (stream, ["values"], SIDES[method]) for k, (_, stream, method, _) in swept.items()}, key, slice_ns)
+        cols = []
+        for k, (name, stream, method, tolerance) in swept.items():
+            kinds = {"values": stream.schema["values"].dataType.typeName()}
+            cols.append(_chosen(k, method, kinds, None if tolerance is None else int(tolerance * 1e6))["values"].alias(name))
+        out = out.select(key, "frame", "ts", *cols)
+    for name, (stream, method, _) in streams.items():
+        if method == "none":
+            there = stream.select(F.col(key).alias("_k"), F.col("ts").alias("_t"), F.col("values").alias(name))
+            out = out.join(there, F.col(key).eqNullSafe(F.col("_k")) & (F.col("ts") == F.col("_t")), "left").drop("_k", "_t")
+    return out.select(key, "frame", "ts", *[F.col(f"`{n}`") for n in streams])

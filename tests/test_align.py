@@ -72,3 +72,18 @@ def test_empty_sides(spark):
     s, g = small(spark, [(1, 1)]), at(spark, 1)
     assert values(asof.nearest(g, s.limit(0), KEY, ["v"])) == [None]
     assert values(asof.nearest(g.limit(0), s, KEY, ["v"])) == []
+
+
+def test_one_sweep_for_all_methods(spark):
+    """Vectors of several streams with their own methods, in one exchange by key; exact repeats repeat frames."""
+    s = small(spark, [(0, 0), (100, 10), (100, 20)])
+    vec = s.selectExpr("ep", "ts", "seq", "array(v, -v) AS values")
+    one = s.selectExpr("ep", "ts", "seq", "v AS values")
+    grid = at(spark, 0, 25, 100, 300)
+    out = asof.align_all(grid, {"a.b": (vec, "linear", None), "h": (one, "hold", 0.0001), "n": (vec, "nearest", None), "x": (one, "none", None)}, KEY)
+    got = sorted(((r.frame, r["a.b"], r.h, r.n, r.x) for r in out.collect()), key=repr)
+    assert got == [(0, [0.0, 0.0], 0.0, [0.0, 0.0], 0.0), (1, [2.5, -2.5], 0.0, [0.0, 0.0], None), (2, [20.0, -20.0], 20.0, [20.0, -20.0], 10.0), (2, [20.0, -20.0], 20.0, [20.0, -20.0], 20.0), (3, [20.0, -20.0], None, [20.0, -20.0], None)]
+    held = asof.align_all(grid, {k: (vec, "nearest", None) for k in "abcde"}, KEY)
+    assert held._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    with pytest.raises(ValueError, match="unknown alignment"):
+        asof.align_all(grid, {"a": (one, "cubic", None)}, KEY)
