@@ -28,6 +28,11 @@ def frame_ts(frame: Column, start: Column, step_ns: int) -> Column:
     return start + frame * step_ns
 
 
+def video_frame(offset_s: Column, fps: float) -> Column:
+    """Number of a packed video's frame at an offset in seconds."""
+    return half_even(offset_s * fps)
+
+
 def strip_prefix(name: Column, prefix: str) -> Column:
     return F.regexp_replace(name, "^" + prefix.replace(".", r"\."), "")
 

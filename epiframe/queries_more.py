@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from epiframe.functions import decoders as D
 from epiframe.functions import scalars
-from epiframe.operators import asof, dataset, episodes
+from epiframe.operators import asof, dataset, episodes, manifests
 from epiframe.operators import metrics as M
 from epiframe.queries_align import HOUR, STEP
 from epiframe.queries_episodes import _shards
@@ -91,6 +91,24 @@ def manifest_check(spark, sf_dir):
     return m.withColumn("consistent", F.col("n_contracts") == 1)
 
 
+@query("SELECT episode_index, source_shard, event FROM (SELECT row_number() OVER (ORDER BY n_regionkey, n_nationkey) - 1 AS episode_index, n_regionkey AS source_shard, n_name AS event FROM nation) WHERE source_shard <> 2")
+def manifest_episodes(spark, sf_dir):
+    """Provenance of a merge's episodes under new numbers, out of the shards' manifests; one shard has lost its own."""
+    n = tables.read(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("l"))
+    entries = F.transform("l", lambda x, i: F.struct(i.alias("episode_index"), x["n_name"].alias("event")))
+    text = F.when(F.col("n_regionkey") != 2, F.to_json(F.struct(entries.alias("episode_to_event"))))
+    shards = n.select(F.col("n_regionkey").alias("shard"), text.alias("manifest"), F.size("l").alias("total_episodes"))
+    return manifests.episode_events(shards).select("episode_index", "source_shard", F.get_json_object("entry", "$.event").alias("event"))
+
+
+@query("SELECT c_mktsegment AS name, count(*) AS n FROM customer GROUP BY 1")
+def manifest_counts(spark, sf_dir):
+    """Sums over the shards of a count that each manifest keeps per name."""
+    per = tables.read(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"))
+    per = per.groupBy("c_nationkey").agg(F.map_from_entries(F.collect_list(F.struct("c_mktsegment", "n"))).alias("episodes_per_dataset"))
+    return manifests.counts(per.select(F.to_json(F.struct("episodes_per_dataset")).alias("manifest")))
+
+
 @query("SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS a0, round(embedding[2]::DOUBLE, 6) AS a1, round(embedding[3]::DOUBLE, 6) AS b0, 'j1,j2' AS names FROM embeddings")
 def encode_action(spark, sf_dir):
     """An action vector cut by stream and packed into command messages."""
