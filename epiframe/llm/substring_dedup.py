@@ -4,8 +4,7 @@ Words are runs of letters and digits, lower-cased. Seeds are the minimizers of e
 shingles of ``k`` words, so any ``k + window - 1`` equal words share a seed. A seed's hub is its
 smallest document; every other occurrence is joined to the hub's, which makes a number of anchors linear in the
 occurrences, where joining all pairs would make their square. Anchors of a document and a hub are chained
-by their positions with linear gap costs through a Fenwick tree, chains are cut at gaps over ``max_gap``
-words, and the words between anchors are aligned: equal ones at once, others by edit distance, with the
+by their positions with linear gap costs through a tree of the anchors at most ``max_gap`` words back, and the words between anchors are aligned: equal ones at once, others by edit distance, with the
 ends stretched while they agree. Passages of ``min_words`` or more with an identity of ``similarity`` or more are
 returned, once per document and hub.
 
@@ -20,6 +19,8 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,44 +69,68 @@ def minimizers(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.
     return h.view(np.int64), np.concatenate([at, at[again]]).astype(np.int32)
 
 
-class Fenwick:
-    """Prefix maxima of (score, index) over ranks."""
+class Recent:
+    """Maxima of (score, index) over ranges of ranks, of entries that may leave in the order they came."""
+
+    NONE = (-1e18, -1)
 
     def __init__(self, n: int):
-        self.n, self.best = n, [(-1e18, -1)] * (n + 1)
+        self.n, self.best, self.at = n, [self.NONE] * (2 * n), [deque() for _ in range(n)]
+
+    def _set(self, i: int) -> None:
+        value = self.at[i][0] if self.at[i] else self.NONE
+        i += self.n
+        while i and self.best[i] != value:
+            self.best[i] = value
+            i >>= 1
+            if i:
+                value = max(self.best[2 * i], self.best[2 * i + 1])
 
     def put(self, i: int, value: tuple[float, int]) -> None:
-        i += 1
-        while i <= self.n:
-            if value > self.best[i]:
-                self.best[i] = value
-            i += i & -i
-
-    def top(self, i: int) -> tuple[float, int]:
-        """Best of ranks below i."""
-        found = (-1e18, -1)
-        while i > 0:
-            if self.best[i] > found:
-                found = self.best[i]
-            i -= i & -i
+        held = self.at[i]
+        while held and held[-1] <= value:  # goes sooner and counts less
+            held.pop()
+        held.append(value)
+        self._set(i)
+
+    def drop(self, i: int, index: int) -> None:
+        if self.at[i] and self.at[i][0][1] == index:
+            self.at[i].popleft()
+            self._set(i)
+
+    def top(self, lo: int, hi: int) -> tuple[float, int]:
+        """Best of ranks from ``lo`` to below ``hi``."""
+        found, lo, hi = self.NONE, lo + self.n, hi + self.n
+        while lo < hi:
+            if lo & 1:
+                found, lo = max(found, self.best[lo]), lo + 1
+            if hi & 1:
+                hi -= 1
+                found = max(found, self.best[hi])
+            lo, hi = lo >> 1, hi >> 1
         return found
 
 
 def chain(x: list[int], y: list[int], k: int, gap_cost: float = 0.1, max_gap: int = 64, min_anchors: int = 2) -> list[list[int]]:
     """Indices of the anchors of each chain, best chain first; an anchor is in one chain at most.
 
-    ``x`` is sorted (ties by y). A chain's score is k an anchor less ``gap_cost`` a word of gap on either side.
+    ``x`` is sorted (ties by y). A chain's score is k an anchor less ``gap_cost`` a word of gap on either side. An
+    anchor follows the best of those within ``max_gap`` words on both sides.
     """
     n = len(x)
-    rank = {v: r for r, v in enumerate(sorted(set(y)))}
-    tree, score, before = Fenwick(len(rank)), [0.0] * n, [-1] * n
-    i = 0
+    ys = sorted(set(y))
+    rank = {v: r for r, v in enumerate(ys)}
+    tree, score, before = Recent(len(ys)), [0.0] * n, [-1] * n
+    i = old = 0
     while i < n:
+        while x[i] - x[old] - k > max_gap:
+            tree.drop(rank[y[old]], old)
+            old += 1
         j = i
         while j < n and x[j] == x[i]:  # anchors at one x must not follow each other
-            best, who = tree.top(rank[y[j]])
+            best, who = tree.top(bisect_left(ys, y[j] - k - max_gap), rank[y[j]])
             gain = best - gap_cost * (x[j] + y[j])
-            if who >= 0 and gain > 0 and x[j] - x[who] - k <= max_gap and y[j] - y[who] - k <= max_gap:
+            if who >= 0 and gain > 0:
                 score[j], before[j] = k + gain, who
             else:
                 score[j] = k

@@ -135,6 +135,31 @@ def test_chain_is_optimal_on_small_sets():
         assert abs(score - max(best.values())) < 1e-9
 
 
+def test_chain_of_a_second_passage():
+    """Two passages of one pair of documents, 66 to 500 words apart, are two chains whatever the first one's length."""
+    for gap in (66, 100, 200, 300, 500):
+        at = [*range(0, 400, 8), *range(400 + gap, 520 + gap, 8)]
+        for shift in (0, 37):  # other words between them on either side
+            y = [p + shift if p >= 400 else p for p in at]
+            found = substring_dedup.chain(at, y, 5)
+            assert sorted(map(len, found)) == [15, 50], gap
+
+
+def test_chain_keeps_to_the_gap():
+    """The best predecessor within the gap on both sides, as trying all of them finds it."""
+    import random
+
+    rng = random.Random(5)
+    for _ in range(300):
+        pts = sorted({(rng.randrange(120), rng.randrange(120)) for _ in range(rng.randint(1, 60))})
+        x, y, k, g, far = [p[0] for p in pts], [p[1] for p in pts], 5, 0.02, rng.randrange(5, 40)
+        score = [0.0] * len(pts)
+        for i in range(len(pts)):
+            score[i] = k + max([0.0] + [score[j] - g * (x[i] - x[j] + y[i] - y[j]) for j in range(i) if x[j] < x[i] <= x[j] + k + far and y[j] < y[i] <= y[j] + k + far])
+        top = substring_dedup.chain(x, y, k, gap_cost=g, max_gap=far, min_anchors=1)[0]
+        assert abs(k * len(top) - sum(g * (x[b] - x[a] + y[b] - y[a]) for a, b in zip(top, top[1:])) - max(score)) < 1e-9
+
+
 def test_passages(spark):
     rows = fx.rows()
     found = substring_dedup.repeated_passages(fx.docs(spark)).collect()
