@@ -17,13 +17,14 @@ result; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epiframe.llm.common import staged
@@ -89,55 +90,70 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return docs_fp.join(named, "fp").select(id_col, "fp", "component_id")
 
 
-def word_set_print(text: str | None) -> bytes:
-    """128-bit SimHash of the set of distinct words: 16 bytes."""
-    words = set((text or "").encode("utf-8", "surrogatepass").lower().split())
-    if not words:
-        return bytes(16)
-    bits = np.unpackbits(np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), dtype=np.uint8).reshape(-1, 16), axis=1)
-    return np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(words)).tobytes()
-
-
 def _shingle_set(text: str, size: int) -> set[bytes]:
     words = text.encode("utf-8", "surrogatepass").lower().split()
     return set(map(b" ".join, zip(*(words[i:] for i in range(size))))) if len(words) >= size else {b" ".join(words)}
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, max_bits: int = 24) -> DataFrame:
+def _shingle_hashes(text: str, size: int) -> np.ndarray:
+    """Distinct signed hashes of the shingles, ascending."""
+    shingles = _shingle_set(text, size)
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), dtype=np.uint64, count=len(shingles)).view(np.int64))
+
+
+def _frequent(texts: DataFrame, size: int, share: int = 16, least: int = 4, most: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, and counts of shingles that are frequent in a sample. They order shingles, so they bear on cost only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column(1):
+                yield pa.RecordBatch.from_arrays([pa.array(_shingle_hashes(t.as_py(), size))], ["h"])
+
+    sample = texts.where(F.pmod(F.xxhash64("_id"), F.lit(share)) == 0).mapInArrow(run, "h long")
+    found = sample.groupBy("h").count().where(F.col("count") >= least).orderBy(F.desc("count"), "h").limit(most).collect()
+    h, n = np.array([r["h"] for r in found], np.int64), np.array([r["count"] for r in found], np.int64)
+    order = h.argsort()
+    return h[order], n[order]
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, rounds: int = 2) -> DataFrame:
     """``id_col, group_id`` of rows whose sets of ``size``-word shingles have a Jaccard similarity of ``similarity`` or more.
 
-    Equal texts are one text first. Each distinct text gets a 128-bit SimHash of its words, cut into four
-    32-bit segments; a segment is entered in its table under each value of its radius-1 Hamming ball, so
-    two segments at 2 or fewer bits meet. In a table entry a text is tried against the entry's first text
-    and the one before it, never against all. Candidates at more than ``max_bits`` complete bits go; the
-    rest are verified on whole texts. The group's id is its smallest row id; null texts are empty; rows
-    with a null id are groups of their own (null group).
+    Equal texts are one text first. In any one order of all shingles, two sets that are similar share one of
+    their first ``n - ceil(similarity * n) + 1`` (n is a set's size), so these are a text's entries; rare shingles
+    come first, which keeps tables small in a crowd that shares a template. In ``rounds`` rounds each table entry's texts
+    are tried against one of them and similar ones are joined. Candidates are verified on whole texts. The
+    group's id is its smallest row id; null texts are empty; rows with a null id are groups of their own (null group).
     """
     base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     key = F.struct(F.xxhash64("_text").alias("a"), F.xxhash64(F.lit(1), F.col("_text")).alias("b"))
     ids = staged(base.select("_id", key.alias("_k")), "near-ids")
     first = staged(ids.groupBy("_k").agg(F.min("_id").alias("_first")), "near-texts")
+    kind = docs.schema[id_col].dataType.simpleString()
+    texts = staged(base.join(first.select(F.col("_first").alias("_id")), "_id", "left_semi").dropDuplicates(["_id"]), "near-whole")
+    common, counts = _frequent(texts, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            prints = np.frombuffer(b"".join(word_set_print(t.as_py()) for t in b.column(1)), dtype=">u4").reshape(-1, 4).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(prints[:, k], pa.int64()) for k in range(4))], ["_id", "s0", "s1", "s2", "s3"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    prints = base.mapInArrow(run, f"_id {kind}, s0 long, s1 long, s2 long, s3 long")
-    prints = staged(prints.join(first.select(F.col("_first").alias("_id")), "_id", "left_semi").dropDuplicates(["_id"]), "near-prints")
-
-    segments = ["s0", "s1", "s2", "s3"]
-    ball = F.concat(F.array(F.lit(0).cast("long")), F.transform(F.sequence(F.lit(0), F.lit(31)), lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b)))
-    entries = None
-    for k, s in enumerate(segments):
-        e = prints.select("_id", *segments, F.explode(ball).alias("_flip")).select("_id", *segments, F.col(s).bitwiseXOR(F.col("_flip")).bitwiseOR(F.lit(k << 32)).alias("_key"))
-        entries = e if entries is None else entries.union(e)
-    at = Window.partitionBy("_key").orderBy("_id")
-    row = F.struct("_id", *segments)
-    tried = entries.select("_id", *segments, F.first(row).over(at).alias("hub"), F.lag(row).over(at).alias("prev")).select("_id", *segments, F.explode(F.array("hub", "prev")).alias("o"))
-    bits = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"o.{s}"))) for s in segments[1:]), F.bit_count(F.col("s0").bitwiseXOR(F.col("o.s0"))))
-    pairs = tried.where((F.col("o._id") < F.col("_id")) & (bits <= max_bits)).select(F.col("_id").alias("u"), F.col("o._id").alias("v")).distinct()
+        for whole in batches:
+            for start in range(0, len(whole), 1000):
+                b = whole.slice(start, 1000)
+                hs, sizes = [np.zeros(0, np.int64)], []
+                for t in b.column(1):
+                    h = _shingle_hashes(t.as_py(), size)
+                    if len(common):
+                        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+                        h = h[np.argsort(np.where(common[at] == h, counts[at], 0), kind="stable")]
+                    sizes.append(len(h))
+                    hs.append(h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1])
+                lengths = [len(h) for h in hs[1:]]
+                rows = np.repeat(np.arange(len(b)), lengths)
+                places = np.concatenate([np.zeros(0, np.int32), *(np.arange(n, dtype=np.int32) for n in lengths)])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), b.column(0).take(pa.array(rows)), pa.array(np.array(sizes, np.int32)[rows]), pa.array(places)], ["h", "_id", "n", "at"])
+
+    entries = staged(texts.mapInArrow(run, f"h long, _id {kind}, n int, at int"), "near-entries")
+    # written tables: AQE splits a hot key of a join only where no aggregate stands between join and shuffle
+    many = staged(entries.groupBy("h").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).where("low < high").select("h"), "near-common")
+    shared = staged(entries.join(many, "h"), "near-shared")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[str, set[bytes]] = ("", {b""})
@@ -151,10 +167,35 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep.append(same >= similarity * (len(mine) + len(last[1]) - same))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    texts = base.join(first.select(F.col("_first").alias("_id")), "_id", "left_semi").dropDuplicates(["_id"])
-    with_u = staged(pairs, "near-pairs").join(texts.select(F.col("_id").alias("u"), F.col("_text").alias("tu")), "u")
-    with_v = with_u.join(texts.select(F.col("_id").alias("v"), F.col("_text").alias("tv")), "v").select("u", "v", "tu", "tv")
-    roots = components(with_v.mapInArrow(verify, f"u {kind}, v {kind}"))
+    def similar(pairs: DataFrame) -> DataFrame:
+        """Of pairs ``u, v`` those whose texts are similar."""
+        with_u = staged(pairs.distinct(), "near-pairs").join(texts.select(F.col("_id").alias("u"), F.col("_text").alias("tu")), "u")
+        with_v = with_u.join(texts.select(F.col("_id").alias("v"), F.col("_text").alias("tv")), "v").select("u", "v", "tu", "tv")
+        return staged(with_v.mapInArrow(verify, f"u {kind}, v {kind}"), "near-links")
+
+    def possible(a: str, b: str) -> Column:
+        """By their sizes and what follows a shingle; it holds for two similar texts at the first shingle they share."""
+        n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+        rest = F.least(n - F.col(f"{a}.at"), m - F.col(f"{b}.at"))
+        return rest * (1 + similarity) + 1e-6 >= similarity * (n + m)
+
+    def unsettled(edges: DataFrame | None) -> DataFrame:
+        """Entries of the tables that hold texts of several groups, with their ``root``."""
+        if edges is None:
+            return shared.withColumn("root", F.col("_id"))
+        roots = staged(components(edges).where("node <> root"), "near-roots")
+        rooted = staged(shared.join(roots, shared._id == roots.node, "left").select("h", "_id", "n", "at", F.coalesce("root", "_id").alias("root")), "near-rooted")
+        several = staged(rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h"), "near-several")
+        return rooted.join(several, "h")
+
+    row, edges = F.struct("_id", "n", "at", "root"), None
+    for k in range(rounds):
+        left = staged(unsettled(edges), "near-left")
+        hubs = staged(left.groupBy("h").agg(F.min(F.struct(F.xxhash64(F.lit(k), F.col("_id")).alias("by"), row.alias("o"))).alias("hub")).select("h", F.col("hub.o").alias("o")), "near-hubs")
+        tried = left.select("h", row.alias("m")).join(hubs, "h").where((F.col("m.root") != F.col("o.root")) & possible("m", "o"))
+        found = similar(tried.select(F.col("m._id").alias("u"), F.col("o._id").alias("v")))
+        edges = found if edges is None else edges.union(found)
+    roots = components(edges)
     named = staged(first.join(roots, first._first == roots.node, "left").select("_k", F.coalesce("root", "_first").alias("group_id")), "near-names")
     return ids.join(named, "_k").select(F.col("_id").alias(id_col), "group_id").distinct()
 

@@ -119,6 +119,32 @@ def test_near_groups(spark):
     assert kept.where("doc_id is null").count() == 2
 
 
+def near_pairs_and_groups(spark, texts):
+    sets = [shingles(t) for t in texts]
+    near = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    root = roots_of(range(len(texts)), near)
+    want = defaultdict(set)
+    for i, r in root.items():
+        want[r].add(i)
+    found = defaultdict(set)
+    for r in simhash.near_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        found[r.group_id].add(r.doc_id)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
+    return near
+
+
+def test_near_groups_of_appended_texts(spark):
+    """Texts with a part appended, of a similarity from 0.8."""
+    import random
+
+    rng, texts = random.Random(11), []
+    for _ in range(60):
+        words = [f"w{int(rng.paretovariate(0.6))}" for _ in range(rng.choice((60, 200)))]
+        more = [f"w{int(rng.paretovariate(0.6))}" for _ in range(int(len(words) * rng.uniform(0.15, 0.25)))]
+        texts += [" ".join(words), " ".join(words + more)]
+    assert len(near_pairs_and_groups(spark, texts)) > 30
+
+
 def test_chain_is_optimal_on_small_sets():
     """The Fenwick tree finds the score that trying all chains finds."""
     import random
