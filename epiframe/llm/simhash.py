@@ -122,7 +122,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Equal texts are one text first. In any one order of all shingles, two sets that are similar share one of
     their first ``n - ceil(similarity * n) + 1`` (n is a set's size), so these are a text's entries; rare shingles
     come first, which keeps tables small in a crowd that shares a template. In ``rounds`` rounds each table entry's texts
-    are tried against one of them and similar ones are joined. Candidates are verified on whole texts. The
+    are tried against one of them and similar ones are joined. Then all pairs of an entry's texts
+    that are not yet in one group are tried, so no link between groups is lost. Candidates are verified on whole texts. The
     group's id is its smallest row id; null texts are empty; rows with a null id are groups of their own (null group).
     """
     base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
@@ -195,7 +196,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         tried = left.select("h", row.alias("m")).join(hubs, "h").where((F.col("m.root") != F.col("o.root")) & possible("m", "o"))
         found = similar(tried.select(F.col("m._id").alias("u"), F.col("o._id").alias("v")))
         edges = found if edges is None else edges.union(found)
-    roots = components(edges)
+    left = staged(unsettled(edges), "near-left")
+    met = (F.col("m.root") < F.col("o.root")) & possible("m", "o")
+    tried = left.select("h", row.alias("m")).join(left.select(F.col("h").alias("g"), row.alias("o")), (F.col("h") == F.col("g")) & met)
+    found = similar(tried.select(F.col("m._id").alias("u"), F.col("o._id").alias("v")))
+    roots = components(found if edges is None else edges.union(found))
     named = staged(first.join(roots, first._first == roots.node, "left").select("_k", F.coalesce("root", "_first").alias("group_id")), "near-names")
     return ids.join(named, "_k").select(F.col("_id").alias(id_col), "group_id").distinct()
 

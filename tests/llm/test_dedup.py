@@ -145,6 +145,16 @@ def test_near_groups_of_appended_texts(spark):
     assert len(near_pairs_and_groups(spark, texts)) > 30
 
 
+def test_near_groups_in_a_crowd(spark):
+    """Texts of the same words in other orders: ids between a text and its near copy are of texts unlike both."""
+    import random
+
+    rng, words = random.Random(12), [f"t{k}" for k in range(100)]
+    texts = [rng.sample(words, 100) for _ in range(40)]
+    texts += [t[:95] + t[:94:-1] for t in texts]
+    assert len(near_pairs_and_groups(spark, list(map(" ".join, texts)))) == 40
+
+
 def test_chain_is_optimal_on_small_sets():
     """The Fenwick tree finds the score that trying all chains finds."""
     import random
