@@ -64,14 +64,27 @@ def summary(frames: DataFrame, flags: DataFrame) -> DataFrame:
     return per.agg(F.count("*").alias("n_episodes"), F.sum("n").alias("n_frames"), F.percentile("n", 0.5).alias("median_frames")).withColumn("n_flagged", flags.agg(F.count("*")).scalar())
 
 
+def write(a: Audit, folder: str) -> None:
+    """Each whole table as parquet under its name in ``folder``, which the executors share."""
+    for name, t in (a.tables | ({"flags": a.flags} if a.flags is not None else {})).items():
+        t.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
 def report(a: Audit, rows: int = 200) -> tuple[str, str]:
-    """(JSON, HTML) with the first ``rows`` of each table."""
-    found = {n: [r.asDict(recursive=True) for r in t.limit(rows).collect()] for n, t in a.tables.items()}
+    """(JSON, HTML) with all flags and the first ``rows`` of each other table, sorted, with the total of a table that is cut; ``write`` has them whole."""
+    found, totals = {}, {}
+    for n, t in a.tables.items():
+        t = t.orderBy(*[c for c, kind in t.dtypes if "map<" not in kind])
+        top = t.limit(rows + 1).collect()
+        totals[n] = t.count() if len(top) > rows else len(top)
+        found[n] = [r.asDict(recursive=True) for r in top[:rows]]
     if a.flags is not None:
-        found["flags"] = [r.asDict() for r in a.flags.limit(rows).collect()]
+        found["flags"] = [r.asDict() for r in a.flags.orderBy("episode").collect()]
+        totals["flags"] = len(found["flags"])
     parts = []
     for name, rs in found.items():
         head = "".join(f"<th>{html.escape(c)}</th>" for c in (rs[0] if rs else ()))
         body = "".join("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in r.values()) + "</tr>" for r in rs)
-        parts.append(f"<h2>{html.escape(name)}</h2><table><tr>{head}</tr>{body}</table>")
-    return json.dumps({"tables": found, "errors": a.errors}, default=str), f"<!doctype html><title>Audit</title>{''.join(parts)}"
+        cut = f"<p>first {len(rs)} of {totals[name]} rows</p>" if len(rs) < totals[name] else ""
+        parts.append(f"<h2>{html.escape(name)}</h2>{cut}<table><tr>{head}</tr>{body}</table>")
+    return json.dumps({"tables": found, "totals": totals, "errors": a.errors}, default=str), f"<!doctype html><title>Audit</title>{''.join(parts)}"

@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -65,6 +67,18 @@ def test_report(audited, frames):
     assert (s.n_episodes, s.n_frames, s.median_frames) == (9, 3000, 300.0)
 
 
+def test_report_lists_all_flags(spark, tmp_path):
+    many = spark.range(300).selectExpr("299 - id AS episode")
+    a = A.Audit({"speed": many}, {}, many)
+    js, page = A.report(a)
+    found = json.loads(js)
+    assert [r["episode"] for r in found["tables"]["flags"]] == list(range(300))
+    assert [r["episode"] for r in found["tables"]["speed"]] == list(range(200)) and found["totals"]["speed"] == 300
+    assert page.count("first 200 of 300 rows") == 1
+    A.write(a, str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/speed").count() == 300
+
+
 def test_speed_equals_numpy(frames, audited):
     data = {e: np.float32(a).astype(float) for e, (_, a) in faults().items()}
     v = {e: K.finite_diff(a, FPS) for e, a in data.items()}
