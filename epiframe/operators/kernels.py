@@ -138,15 +138,25 @@ def lowpass(x: np.ndarray, fs: float, cutoff_hz: float, order: int = 2) -> np.nd
 
 
 def resample_uniform(x: np.ndarray, ts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest samples (the later on ties) on an even grid from first to last time, stepping by the median interval."""
+    """Nearest samples (the later on ties) on an even grid from first to last time, stepping by the median interval.
+
+    ``ts`` ascends. A grid time belongs to the sample whose cell it lies in; cells meet halfway between samples.
+    """
     if len(ts) < 2:
         return x, ts
-    n = int(np.round((ts[-1] - ts[0]) / np.median(np.diff(ts)))) + 1
-    grid = ts[0] + np.round(np.linspace(0, float(ts[-1] - ts[0]), n)).astype(ts.dtype)
-    after = np.clip(np.searchsorted(ts, grid, side="left"), 0, len(ts) - 1)
-    before = np.clip(after - 1, 0, None)
-    pick = np.where(np.abs(ts[before] - grid) < np.abs(ts[after] - grid), before, after)
-    return x[pick], grid
+    span = ts[-1] - ts[0]
+    steps = int(np.round(span / np.median(np.diff(ts))))
+    grid = ts[0] + np.round(np.linspace(0, float(span), steps + 1)).astype(ts.dtype)
+    cell = np.searchsorted(ts[:-1] + ts[1:], 2 * grid, side="right")  # twice the times: whole numbers stay whole
+    cell = np.where(ts[cell] == grid, np.searchsorted(ts, grid), cell)  # of equal times the first
+    return x[cell], grid
+
+
+def histogram_entropy(values: np.ndarray) -> float:
+    """Entropy of a histogram of a tenth as many bins (4 to 30), as a share of the most that its filled bins allow."""
+    counts = np.histogram(values, bins=int(np.clip(len(values) // 10, 4, 30)))[0]
+    counts, n = counts[counts > 0], len(values)
+    return float((np.log(n) - counts @ np.log(counts) / n) / np.log(max(2, len(counts))))
 
 
 def knn_entropy(x: np.ndarray, k: int = 5, cap: int = 5000) -> float:
@@ -159,10 +169,6 @@ def knn_entropy(x: np.ndarray, k: int = 5, cap: int = 5000) -> float:
         d = np.maximum(square[at : at + 512, None] + square[None] - 2 * x[at : at + 512] @ x.T, 0)
         d[np.arange(len(d)), at + np.arange(len(d))] = 0
         dist.append(np.sqrt(np.partition(d, min(k, d.shape[1] - 1), axis=1)[:, min(k, d.shape[1] - 1)]))
-    dist = np.concatenate(dist)
-    dist = dist[np.isfinite(dist) & (dist > 0)]
-    if len(dist) < 4:
-        return float("nan")
-    h, _ = np.histogram(dist, bins=min(30, max(4, len(dist) // 10)), density=True)
-    h = h[h > 0] / h[h > 0].sum()
-    return float(-(h * np.log(h)).sum() / np.log(len(h) if len(h) > 1 else 2))
+    near = np.concatenate(dist)
+    near = near[np.isfinite(near) & (near > 0)]
+    return histogram_entropy(near) if len(near) >= 4 else float("nan")

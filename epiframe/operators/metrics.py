@@ -7,6 +7,7 @@ Values that are not finite are left out of summaries. Standard deviations are of
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -245,30 +246,42 @@ def ess_total(acf: DataFrame) -> DataFrame:
 
 
 def alignment(long: DataFrame, pairs: list[tuple[int, int]], fps: float) -> DataFrame:
-    """``episode, state_dim, action_dim, peak_lag, peak_value, lags, r``: correlation of action and state steps by lag, a group a pair of an episode."""
-    table = long.sparkSession.createDataFrame([(s, a, "state", s) for s, a in pairs] + [(s, a, "action", a) for s, a in pairs], "state_dim int, action_dim int, role string, dim int")
+    """``episode, state_dim, action_dim, peak_lag, peak_value, lags, r``: correlation of action and state steps by lag.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = {r: g.sort_values("frame").x.to_numpy() for r, g in pdf.groupby("role")}
-        names = ["episode", "state_dim", "action_dim", "peak_lag", "peak_value", "lags", "r"]
-        if len(side) < 2 or min(map(len, side.values())) < 4:
-            return pd.DataFrame(columns=names)
-        n = min(map(len, side.values()))
-        s, a = kernels.finite_diff(side["state"], fps)[:n], kernels.finite_diff(side["action"], fps)[:n]
-        if s.std() == 0 or a.std() == 0:
-            return pd.DataFrame(columns=names)
-        cap = int(max(1, min(n // 4, round(fps) if fps > 0 else n // 4)))
-        c = kernels.xcorr_lags(a, s, cap)
-        peak = int(np.argmax(np.abs(c)))
-        ds, da = np.diff(side["state"])[: n - 1], np.diff(side["action"])[: n - 1]
-        short = min((n - 1) // 4, 30)
-        r = kernels.pearson_lags(da, ds, short) if n - 1 >= 4 and short >= 1 else np.zeros(0)
-        first = pdf.iloc[0]
-        return pd.DataFrame([(first.episode, first.state_dim, first.action_dim, peak - cap, c[peak], list(range(-short, short + 1)) if len(r) else [], r.tolist())], columns=names)
+    Channels become one array a row and meet their partner by a join; the kernels run over batches of pairs.
+    """
+    channel = usable(long, 4).groupBy("episode", "role", "dim").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame", "x"))), lambda c: c["x"]).alias("v"))
+    partner = long.sparkSession.createDataFrame(pairs, "state_dim int, action_dim int")
+    state = channel.where("role = 'state'").select("episode", F.col("dim").alias("state_dim"), F.col("v").alias("s")).join(F.broadcast(partner), "state_dim")
+    action = channel.where("role = 'action'").select("episode", F.col("dim").alias("action_dim"), F.col("v").alias("a"))
+
+    def peak(s: np.ndarray, a: np.ndarray) -> tuple[int | None, float | None]:
+        """Lag and value of the largest z-scored correlation of velocities; none where one stands still."""
+        n, velocity = min(len(s), len(a)), [kernels.finite_diff(v, fps) for v in (s, a)]
+        x, y = (v[:n] for v in velocity)
+        if n < 4 or not x.std() or not y.std():
+            return None, None
+        most = max(1, min(n // 4, round(fps) if fps > 0 else n // 4))
+        c = kernels.xcorr_lags(y, x, most)
+        at = int(np.abs(c).argmax())
+        return at - most, float(c[at])
+
+    def curve(s: np.ndarray, a: np.ndarray) -> list[float]:
+        """Pearson correlation of raw steps at lags -m..m, m at most 30 and a quarter of the steps."""
+        n = min(len(s), len(a)) - 1
+        return kernels.pearson_lags(np.diff(a)[:n], np.diff(s)[:n], min(n // 4, 30)).tolist() if n >= 4 else []
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [(*peak(s, a), curve(s, a)) for s, a in zip(pdf.pop("s"), pdf.pop("a"))]
+            pdf["peak_lag"], pdf["peak_value"] = [f[0] for f in found], [f[1] for f in found]
+            pdf["lags"] = [list(range(-(len(f[2]) // 2), len(f[2]) // 2 + 1)) if f[2] else [] for f in found]
+            pdf["r"] = [f[2] for f in found]
+            yield pdf[pdf.peak_lag.notna()]
 
     kind = long.schema["episode"].dataType.simpleString()
-    rows = usable(long, 4).join(F.broadcast(table), ["role", "dim"])  # two rows a pair of dims
-    return rows.groupBy("episode", "state_dim", "action_dim").applyInPandas(run, f"episode {kind}, state_dim int, action_dim int, peak_lag int, peak_value double, lags array<int>, r array<double>")
+    both = state.join(action, ["episode", "action_dim"]).select("episode", "state_dim", "action_dim", "s", "a")
+    return both.mapInPandas(run, f"episode {kind}, state_dim int, action_dim int, peak_lag int, peak_value double, lags array<int>, r array<double>")
 
 
 def alignment_flags(aligned: DataFrame) -> DataFrame:
