@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from epiframe import queries_align, queries_episodes, queries_metrics, queries_more  # noqa: F401
+from epiframe import queries_align, queries_decode, queries_episodes, queries_metrics, queries_more  # noqa: F401
 from epiframe.registry import ORACLES, QUERIES
 
 

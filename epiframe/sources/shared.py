@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,9 +29,10 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, which cuts the lineage."""
+    """Write ``df`` to the shared folder and read it back, which cuts the lineage. The table goes with the driver at the latest."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    _at(df.sparkSession, path, lambda fs, p: fs.deleteOnExit(p))
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
@@ -39,6 +41,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete what ``staged`` wrote for tables that nothing reads any more."""
     for t in tables:
-        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        path = jvm.org.apache.hadoop.fs.Path(t._staged_at)
-        path.getFileSystem(conf).delete(path, True)
+        _at(t.sparkSession, t._staged_at, lambda fs, p: fs.delete(p, True))
+
+
+def _at(spark: SparkSession, path: str, act: Callable) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    act(p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p)
