@@ -118,6 +118,12 @@ def linear(grid: DataFrame, stream: DataFrame, key: str, values: list[str], tole
     return _one(grid, stream, key, values, "linear", tolerance_ns, slice_ns)
 
 
+def held(grid: DataFrame, streams: dict[str, DataFrame], key: str, tolerances_ns: dict[str, int], slice_ns: int | None = None) -> DataFrame:
+    """Grid plus the column ``value`` of each stream's last sample within its tolerance, under the stream's name; one sweep for all."""
+    swept = _sweep(grid, {k: (s, ["value"], SIDES["hold"]) for k, s in streams.items()}, key, slice_ns)
+    return swept.select(key, "frame", "ts", *[_chosen(k, "hold", {"value": "double"}, tolerances_ns[k])["value"].alias(k) for k in streams])
+
+
 def exact(grid: DataFrame, stream: DataFrame, key: str, values: list[str]) -> DataFrame:
     """Samples at the grid time itself; repeated samples repeat the grid row."""
     there = stream.select(F.col(key).alias("_k"), F.col("ts").alias("_t"), *values)

@@ -70,7 +70,7 @@ def task_labels(episodes: DataFrame, tasks: DataFrame, key: str = "episode") ->
 
     episodes: ``key, scope, start_ns, end_ns, label``; tasks: ``scope, ts, seq, data``.
     """
-    inside = episodes.select(key, "scope", "start_ns", "end_ns").join(tasks, "scope").where("ts BETWEEN start_ns AND end_ns")
+    inside = within(tasks, episodes.select(key, "scope", "start_ns", "end_ns"), "scope", "ts", "start_ns", "end_ns")
     first = inside.groupBy(F.col(key).alias("_k")).agg(F.min_by("data", F.struct("ts", "seq")).alias("_first"))
     found = episodes.join(first, F.col(key).eqNullSafe(F.col("_k")), "left")
     return found.select(key, F.coalesce(F.nullif("label", F.lit("")), F.nullif("_first", F.lit("")), F.lit("default")).alias("task"))
@@ -108,6 +108,40 @@ def segments(frames: DataFrame, key: str = "episode") -> DataFrame:
     return changed.where("_new").join(some, F.col(key).eqNullSafe(F.col("_k")), "left_semi").select(key, F.col("frame").alias("start_frame"), F.coalesce("name", F.lit(GAP)).alias("content"), "event_id")
 
 
+def by_start(events: DataFrame, scope: str, ts: str, event: str) -> DataFrame:
+    """``events`` plus ``rank`` within their scope from 0: by start, ties by the larger id first."""
+    order = Window.partitionBy(scope).orderBy(ts, F.col(event).desc())
+    return events.withColumn("rank", (F.row_number().over(order) - 1).cast("long"))
+
+
+def relabelled(entries: DataFrame, session: Column, name: Column) -> DataFrame:
+    """``entries`` plus ``kind`` (session or event) and ``label``: a session's own name, else none."""
+    own = F.coalesce(F.nullif(F.when(session, name), F.lit("")), F.lit("none"))
+    return entries.withColumn("kind", F.when(session, "session").otherwise("event")).withColumn("label", own)
+
+
+def flattened(messages: DataFrame, samples: str, step_ns: int, ts: str = "ts", seq: str = "seq") -> DataFrame:
+    """A row a sample of the array column ``samples``, as ``value``: ``step_ns`` apart from the message's time on; ``seq`` is the pair of message and place."""
+    rest = [c for c in messages.columns if c not in (samples, ts, seq)]
+    rows = messages.select(*rest, F.col(ts).alias("_t"), F.col(seq).alias("_q"), F.posexplode(samples).alias("_p", "value"))
+    return rows.select(*rest, (F.col("_t") + F.col("_p").cast("long") * step_ns).alias(ts), F.struct(F.col("_q").alias("message"), F.col("_p").alias("place")).alias(seq), "value")
+
+
+def within(points: DataFrame, windows: DataFrame, scope: str, ts: str, start: str, end: str) -> DataFrame:
+    """Points joined to the windows of their scope that they lie in, both ends included.
+
+    Time is cut into buckets as long as the mean window, and a window is entered in those it touches, so a hot scope's points meet only
+    windows near them, not all of its windows.
+    """
+    mean = windows.agg(F.avg(F.col(end) - F.col(start))).first()[0]
+    bucket = max(1, int(mean or 1))
+    cut = lambda c: F.floor(c / F.lit(bucket)).cast("long")
+    opened = windows.where(F.col(end) >= F.col(start)).withColumn("_cut", F.explode(F.sequence(cut(F.col(start)), cut(F.col(end)))))
+    own = points.withColumnRenamed(scope, "_scope").withColumn("_at", cut(F.col(ts)))
+    met = opened.join(own, (F.col(scope) == F.col("_scope")) & (F.col("_cut") == F.col("_at")))
+    return met.where(F.col(ts).between(F.col(start), F.col(end))).drop("_scope", "_cut", "_at")
+
+
 def first_seen(rows: DataFrame, value: str, order: Column) -> DataFrame:
     """``value, index``: distinct values numbered in the order of their first row."""
     firsts = rows.groupBy(value).agg(F.min(order).alias("_o"))

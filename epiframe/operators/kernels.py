@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 
@@ -104,17 +106,31 @@ def sos_rest(sos: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
+@lru_cache(maxsize=64)
+def _block(b0: float, b1: float, b2: float, a1: float, a2: float, size: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A section over ``size`` rows at once: rows to rows, state to rows, powers of the state's step, and a row's part in it so many rows on."""
+    step, entry = np.array([[-a1, 1.0], [-a2, 0.0]]), np.array([b1 - a1 * b0, b2 - a2 * b0])
+    powers = [np.eye(2)]
+    for _ in range(size):
+        powers.append(step @ powers[-1])
+    into = np.array([p @ entry for p in powers[:size]])
+    answer = np.append(b0, into[: size - 1, 0])
+    lag = np.subtract.outer(np.arange(size), np.arange(size))
+    return np.where(lag >= 0, answer[lag], 0.0), np.array([p[0] for p in powers[:size]]), np.array(powers), into
+
+
 def sos_run(sos: np.ndarray, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Filter rows of ``x`` (time, channels) from ``state`` (sections, 2, channels); the state after them comes back too."""
+    """Filter rows of ``x`` (time, channels) from ``state`` (sections, 2, channels), a block of rows at a time; the state after them comes back too."""
     y, state = np.array(x, float), np.array(state, float)
-    for t in range(len(y)):
-        v = y[t]
-        for k, (b0, b1, b2, _, a1, a2) in enumerate(sos):
-            out = b0 * v + state[k, 0]
-            state[k, 0] = b1 * v - a1 * out + state[k, 1]
-            state[k, 1] = b2 * v - a2 * out
-            v = out
-        y[t] = v
+    for k, (b0, b1, b2, _, a1, a2) in enumerate(sos):
+        rows, out, powers, into = _block(*map(float, (b0, b1, b2, a1, a2)))
+        z = state[k]
+        for at in range(0, len(y), len(out)):
+            part = y[at : at + len(out)].copy()
+            n = len(part)
+            y[at : at + n] = rows[:n, :n] @ part + out[:n] @ z
+            z = powers[n] @ z + into[:n][::-1].T @ part
+        state[k] = z
     return y, state
 
 

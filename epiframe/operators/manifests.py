@@ -10,9 +10,13 @@ nothing else; a manifest that states ``total_episodes`` is believed over the sum
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from epiframe.sources.shared import write_text
+
 
 class ManifestError(ValueError):
     """Shards that cannot be one dataset."""
@@ -81,3 +85,40 @@ def with_episodes(shards: DataFrame) -> DataFrame:
         why = shards.orderBy("shard").select("shard", reason.alias("reason")).collect()  # a row a shard
         raise ManifestError("no shard has an episode: " + "; ".join(f"{r.shard}: {r.reason}" for r in why))
     return kept
+
+
+def contracts(shards: DataFrame, by: str, path: str = "contract") -> DataFrame:
+    """``by, n_contracts, consistent`` of the shards of many merges: shards without a contract do not count."""
+    n = F.count_distinct(value_at(f"{path}.sha256"))
+    return shards.groupBy(by).agg(n.alias("n_contracts")).withColumn("consistent", F.col("n_contracts") <= 1)
+
+
+def shard_summary(infos: DataFrame) -> DataFrame:
+    """``shard, n_episodes, n_frames, fps, version`` from the info files ``shard, info`` (JSON text); a shard without one raises."""
+    entry = lambda name: F.get_json_object("info", f"$.{name}")
+    there = F.when(F.col("info").isNull(), F.raise_error(F.concat(F.lit("no info file in shard "), F.col("shard").cast("string"))).cast("long")).otherwise(entry("total_episodes").cast("long"))
+    return infos.select("shard", there.alias("n_episodes"), entry("total_frames").cast("long").alias("n_frames"), entry("fps").cast("double").alias("fps"), entry("codebase_version").alias("version"))
+
+
+def document(shards: DataFrame) -> dict:
+    """The merged manifest but for lists that grow with the episodes: totals, contract, counts and names.
+
+    What comes to the driver is a row a shard, a dataset or a name.
+    """
+    whole = offsets(shards)
+    n = F.coalesce(value_at("total_episodes").cast("long"), F.col("total_episodes").cast("long"), F.lit(0).cast("long"))
+    sums = whole.agg(F.count("*").alias("s"), F.sum(n).alias("e"), F.count("manifest").alias("m")).first()
+    return {
+        "total_shards": sums.s, "total_episodes": sums.e or 0, "shards_with_manifest": sums.m, "contract": contract_of(shards),
+        "episodes_per_dataset": {r["name"]: r["n"] for r in counts(shards).orderBy("name").collect()},
+        "source_datasets": sorted(r["name"] for r in names(shards).collect()),
+    }
+
+
+def write_document(shards: DataFrame, folder: str) -> dict:
+    """``manifest.json`` in ``folder`` and beside it, written by executors, the provenance of all episodes and what was skipped, as JSON lines."""
+    spark, found = shards.sparkSession, document(shards)
+    episode_events(shards).write.json(f"{folder}/episode_to_event.jsonl")
+    listed(shards, "skipped").write.json(f"{folder}/skipped.jsonl")
+    write_text(spark, f"{folder}/manifest.json", json.dumps(found | {"episode_to_event": "episode_to_event.jsonl", "skipped": "skipped.jsonl"}, sort_keys=True, indent=2))
+    return found

@@ -7,27 +7,34 @@ Values that are not finite are left out of summaries. Standard deviations are of
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epiframe.functions.scalars import finite, half_even, or_one
 from epiframe.operators import kernels
+from epiframe.sources.shared import staged
 
 CHANNEL = ["episode", "role", "dim"]
 
 
 def scalar_summary(rows: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
     """mean, median, std, min, max, p05 and p95 of the finite values."""
-    x = finite(F.col(column))
-    q = lambda p, name: F.percentile("_x", p).alias(name)
-    aggs = [F.count("_x").alias("n"), F.avg("_x").alias("mean"), q(0.5, "median"), F.stddev_pop("_x").alias("std"), F.min("_x").alias("min"), F.max("_x").alias("max"), q(0.05, "p05"), q(0.95, "p95")]
-    return rows.select(*(by or []), x.alias("_x")).groupBy(*(by or [])).agg(*aggs)
+    by = by or []
+    x = rows.select(*by, finite(F.col(column)).cast("double").alias("_x"))
+    found = x.groupBy(*by).agg(F.count("_x").alias("n"), F.avg("_x").alias("mean"), F.stddev_pop("_x").alias("std"), F.min("_x").alias("min"), F.max("_x").alias("max"))
+    kinds = ", ".join(f"`_{b}` {rows.schema[b].dataType.simpleString()}" for b in by)
+    names = {"median": 0.5, "p05": 0.05, "p95": 0.95}
+    qs = pooled_quantiles(x, "_x", tuple(names.values()), by)
+    table = rows.sparkSession.createDataFrame([(*g, *v) for g, v in qs.items()], ", ".join(filter(None, [kinds, *(f"{n} double" for n in names)])))
+    joined = found.join(F.broadcast(table), reduce(Column.__and__, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by], F.lit(True)), "left")  # a row a group of the summary
+    return joined.select(*by, "n", "mean", "median", "std", "min", "max", "p05", "p95")
 
 
 def pooled_quantiles(rows: DataFrame, column: str, ps: tuple[float, ...], by: list[str] | None = None, bins: int = 2048, few: int = 20_000) -> dict[tuple, list[float]]:
@@ -79,9 +86,19 @@ def pooled_quantiles(rows: DataFrame, column: str, ps: tuple[float, ...], by: li
 
 def robust_z(rows: DataFrame, column: str) -> DataFrame:
     """``rows`` plus ``median, mad, z``: distance from the median in median absolute deviations, a deviation of 0 counting as 1."""
-    with_m = rows.withColumn("median", rows.agg(F.percentile(column, 0.5)).scalar())
-    d = with_m.agg(or_one(F.percentile(F.abs(F.col(column) - F.col("median")), 0.5)))
-    return with_m.withColumn("mad", d.scalar()).withColumn("z", (F.col(column) - F.col("median")) / F.col("mad"))
+    rows = staged(rows, "robust")  # a row an episode, read several times
+    number = lambda v: F.lit(None if v is None else float(v)).cast("double")
+    median = pooled_quantiles(rows, column, (0.5,)).get((), [None])[0]
+    away = rows.withColumn("median", number(median)).withColumn("_d", F.abs(F.col(column) - F.col("median")))
+    mad = pooled_quantiles(away, "_d", (0.5,)).get((), [None])[0]
+    mad = 1.0 if mad == 0 else mad
+    return away.drop("_d").withColumn("mad", number(mad)).withColumn("z", (F.col(column) - F.col("median")) / F.col("mad"))
+
+
+def medians(rows: DataFrame, column: str, by: list[str], name: str) -> DataFrame:
+    """``by, name``: exact medians of few groups."""
+    found = pooled_quantiles(rows, column, (0.5,), by)
+    return F.broadcast(rows.sparkSession.createDataFrame([(*g, v[0]) for g, v in found.items()], ", ".join([*(f"`{b}` {rows.schema[b].dataType.simpleString()}" for b in by), f"{name} double"])))
 
 
 def long_form(frames: DataFrame) -> DataFrame:
@@ -185,14 +202,15 @@ def spread(long: DataFrame, fps: float) -> DataFrame:
     moved = differences(differences(usable(long), fps), fps, "v", "a")
     per = moved.groupBy(*CHANNEL).agg(F.stddev_pop("x").alias("position"), F.stddev_pop("v").alias("speed"), F.stddev_pop("a").alias("acceleration"))
     per = per.unpivot(CHANNEL, ["position", "speed", "acceleration"], "kind", "std")
-    med = per.groupBy("role", "dim", "kind").agg(or_one(F.percentile("std", 0.5)).alias("_m"))
-    return per.join(med, ["role", "dim", "kind"]).select(*CHANNEL, "kind", "std", (F.col("std") / F.col("_m")).alias("relative"))
+    per = staged(per, "spread")
+    med = medians(per, "std", ["role", "dim", "kind"], "_m")
+    return per.join(med, ["role", "dim", "kind"]).select(*CHANNEL, "kind", "std", (F.col("std") / or_one(F.col("_m"))).alias("relative"))
 
 
 def variance_outliers(spreads: DataFrame) -> DataFrame:
     """``episode, variance_z, near_zero_fraction, variance_outlier`` from the relative spread of action positions."""
     a = spreads.where("role = 'action' AND kind = 'position'")
-    med = a.groupBy("dim").agg(F.percentile("relative", 0.5).alias("_m"))
+    med = medians(a, "relative", ["dim"], "_m")
     gap = F.col("relative") - F.col("_m")
     rows = a.join(med, "dim").groupBy("episode").agg(F.sqrt(F.sum(gap * gap)).alias("norm"), F.avg((F.col("relative") < 0.1).cast("double")).alias("near_zero_fraction"))
     return robust_z(rows, "norm").select("episode", F.col("z").alias("variance_z"), "near_zero_fraction", (F.abs("z") > 3).alias("variance_outlier"))
@@ -207,36 +225,45 @@ def coverage(long: DataFrame, declared: DataFrame | None = None) -> DataFrame:
     return p.join(declared, ["role", "dim"], "left").select("role", "dim", "visited", F.when(F.col("hi") > F.col("lo"), F.col("visited") / (F.col("hi") - F.col("lo"))).alias("fraction"))
 
 
+def channels(long: DataFrame, least: int = 1) -> DataFrame:
+    """``episode, role, dim, v``: each channel of ``least`` rows or more as one array in order of frames."""
+    rows = long.groupBy(*CHANNEL).agg(F.transform(F.array_sort(F.collect_list(F.struct("frame", "x"))), lambda c: c["x"]).alias("v"))
+    return rows.where(F.size("v") >= least)
+
+
+def _per_channel(rows: DataFrame, kernel: Callable[..., tuple], more: str) -> DataFrame:
+    """CHANNEL and the columns ``more`` that ``kernel`` gives for a channel's array and role, over batches of channels."""
+    kinds = [f.split(" ", 1) for f in more.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [kernel(np.asarray(v, float), role) for v, role in zip(pdf.pop("v"), pdf.role)]
+            for i, (name, _) in enumerate(kinds):
+                pdf[name] = pd.Series([f[i] for f in found], index=pdf.index, dtype=object)
+            yield pdf
+
+    kind = rows.schema["episode"].dataType.simpleString()
+    return rows.mapInPandas(run, f"episode {kind}, role string, dim int, {more}")
+
+
 def autocorrelation(long: DataFrame, fps: float) -> DataFrame:
-    """``episode, role, dim, n, tau_int, tau_half, ess, stuck`` of channels of four rows or more. A task sees one channel of one episode."""
+    """``episode, role, dim, n, tau_int, tau_half, ess, stuck`` of channels of four rows or more."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("frame").x.to_numpy()
-        out = pdf.iloc[:1][CHANNEL].copy()
-        cap = kernels.lag_cap(len(x), fps)
-        r = kernels.acf(x, cap)
+    def kernel(x: np.ndarray, role: str) -> tuple:
+        r = kernels.acf(x, kernels.lag_cap(len(x), fps))
         tau = kernels.tau_int(r)
-        stuck = bool(pdf.role.iloc[0] == "state" and (x.std() < 1e-6 or (len(r) > 3 and (r[1:4] > 0.999).all())))
-        out["n"], out["tau_int"], out["tau_half"] = len(x), tau, kernels.tau_half(r) if np.isfinite(tau) else np.nan
-        out["ess"] = len(x) / tau if np.isfinite(tau) and tau > 0 else np.nan
-        out["stuck"] = stuck
-        return out
+        known = bool(np.isfinite(tau))
+        stuck = role == "state" and bool(x.std() < 1e-6 or (len(r) > 3 and (r[1:4] > 0.999).all()))
+        return len(x), tau, kernels.tau_half(r) if known else None, len(x) / tau if known and tau > 0 else None, stuck
 
-    kind = long.schema["episode"].dataType.simpleString()
-    out = usable(long, 4).groupBy(*CHANNEL).applyInPandas(run, f"episode {kind}, role string, dim int, n long, tau_int double, tau_half double, ess double, stuck boolean")
+    out = _per_channel(channels(long, 4), kernel, "n long, tau_int double, tau_half double, ess double, stuck boolean")
     return out.select(*CHANNEL, "n", *[finite(F.col(c)).alias(c) for c in ("tau_int", "tau_half", "ess")], "stuck")
 
 
 def action_acf(long: DataFrame, cap: int = 100) -> DataFrame:
     """``episode, dim, lag, r``: curves of actions up to half the episode, ``cap`` at most."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("frame").x.to_numpy()
-        r = kernels.acf(x, min(len(x) // 2, cap))
-        return pd.DataFrame({"episode": pdf.episode.iloc[0], "dim": pdf.dim.iloc[0], "lag": np.arange(len(r)), "r": r})
-
-    kind = long.schema["episode"].dataType.simpleString()
-    return usable(long.where("role = 'action'"), 4).groupBy("episode", "dim").applyInPandas(run, f"episode {kind}, dim int, lag int, r double").withColumn("r", finite(F.col("r")))
+    curves = _per_channel(channels(long.where("role = 'action'"), 4), lambda x, _: (kernels.acf(x, min(len(x) // 2, cap)),), "r array<double>")
+    return curves.select("episode", "dim", F.posexplode("r").alias("lag", "r")).withColumn("r", finite(F.col("r")))
 
 
 def ess_total(acf: DataFrame) -> DataFrame:
@@ -250,7 +277,7 @@ def alignment(long: DataFrame, pairs: list[tuple[int, int]], fps: float) -> Data
 
     Channels become one array a row and meet their partner by a join; the kernels run over batches of pairs.
     """
-    channel = usable(long, 4).groupBy("episode", "role", "dim").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame", "x"))), lambda c: c["x"]).alias("v"))
+    channel = channels(long, 4)
     partner = long.sparkSession.createDataFrame(pairs, "state_dim int, action_dim int")
     state = channel.where("role = 'state'").select("episode", F.col("dim").alias("state_dim"), F.col("v").alias("s")).join(F.broadcast(partner), "state_dim")
     action = channel.where("role = 'action'").select("episode", F.col("dim").alias("action_dim"), F.col("v").alias("a"))
@@ -294,28 +321,47 @@ def alignment_flags(aligned: DataFrame) -> DataFrame:
 
 def smoothness(long: DataFrame, fps: float) -> DataFrame:
     """``episode, role, dim, sparc`` of channel velocities."""
+    out = _per_channel(channels(long, 2), lambda x, _: (kernels.sparc(kernels.finite_diff(x, fps), fps),), "sparc double")
+    return out.withColumn("sparc", finite(F.col("sparc")))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pdf.iloc[:1][CHANNEL].copy()
-        out["sparc"] = kernels.sparc(kernels.finite_diff(pdf.sort_values("frame").x.to_numpy(), fps), fps)
-        return out
 
-    kind = long.schema["episode"].dataType.simpleString()
-    return usable(long).groupBy(*CHANNEL).applyInPandas(run, f"episode {kind}, role string, dim int, sparc double").withColumn("sparc", finite(F.col("sparc")))
+def covariance_matrix(frames: DataFrame, column: str, width: int) -> np.ndarray:
+    """Sample covariance of the vector's dims, pooled over all frames, in two passes; NaN for fewer than two frames.
+
+    A task gives one row of sums of products about the mean, and these are added in Spark; width squared numbers come to the driver.
+    Vectors of another width or with missing numbers are left out.
+    """
+    whole = frames.where((F.size(column) == width) & ~F.exists(column, lambda x: x.isNull())).select(F.col(column).cast("array<double>").alias("v"))
+    center = whole.agg(*[F.avg(F.get("v", F.lit(i))).alias(f"m{i}") for i in range(width)]).first()
+    if center[0] is None:
+        return np.full((width, width), np.nan)
+    middle = np.array(center, float)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums, products = 0, np.zeros(width), np.zeros((width, width))
+        for b in batches:
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width) - middle
+            n, sums, products = n + len(x), sums + x.sum(axis=0), products + x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array([[n, *sums, *products.ravel()]], pa.list_(pa.float64()))], ["s"])
+
+    parts = whole.mapInArrow(run, "s array<double>").select(F.posexplode("s").alias("at", "x"))
+    total = np.zeros(1 + width + width * width)
+    for r in parts.groupBy("at").agg(F.sum("x").alias("x")).collect():
+        total[r["at"]] = r["x"]
+    n, sums, products = total[0], total[1 : width + 1], total[width + 1 :].reshape(width, width)
+    return (products - np.outer(sums, sums) / n) / (n - 1) if n > 1 else np.full((width, width), np.nan)
 
 
 def covariance(frames: DataFrame, column: str, width: int) -> DataFrame:
-    """``i, j, cov``: sample covariance of the vector's dims, pooled over all frames, in one pass."""
-    cells = [F.covar_samp(F.get(column, F.lit(i)), F.get(column, F.lit(j))).alias(f"c{i}_{j}") for i in range(width) for j in range(i, width)]
-    one = frames.agg(*cells)
-    return one.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"c{i}_{j}").alias("cov")) for i in range(width) for j in range(i, width)])).alias("c")).select("c.*")
+    """``i, j, cov`` of the upper triangle of the covariance."""
+    m = covariance_matrix(frames, column, width)
+    rows = [(i, j, None if np.isnan(m[i, j]) else float(m[i, j])) for i in range(width) for j in range(i, width)]
+    return frames.sparkSession.createDataFrame(rows, "i int, j int, cov double")
 
 
 def effective_dim(frames: DataFrame, column: str, width: int) -> DataFrame:
-    """``role, dim, pr, pcs_95, low``: participation ratio of the covariance spectrum; the matrix of width squared comes to the driver."""
-    m = np.zeros((width, width))
-    for r in covariance(frames, column, width).collect():
-        m[r.i, r.j] = m[r.j, r.i] = r.cov if r.cov is not None else np.nan
+    """``role, dim, pr, pcs_95, low``: participation ratio of the covariance spectrum."""
+    m = covariance_matrix(frames, column, width)
     values = np.linalg.eigvalsh(m)[::-1] if np.isfinite(m).all() else np.zeros(0)
     values = values[values > 0]
     if not len(values):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from epiframe.contract import Transform
 from epiframe.operators import kernels
@@ -48,21 +49,31 @@ def run_chain(x: np.ndarray, ts: np.ndarray, chain: list[Transform], fs: float)
 def transform(stream: DataFrame, key: str, chain: list[Transform], fs: float | None = None) -> tuple[DataFrame, DataFrame]:
     """(stream after the chain, errors): a stream that a transform refuses gives one error row and no samples.
 
-    ``fs`` None is the stream's own rate, from its median step. A group is one stream of one episode.
+    ``fs`` None is the stream's own rate, from its median step. A stream is one row of arrays; Python sees batches of them.
     """
     kind = stream.schema[key].dataType.simpleString()
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", "seq"])
-        name, ts = pdf[key].iloc[0], pdf.ts.to_numpy()
-        try:
-            if pdf["values"].isna().any():
-                raise ValueError("a frame has no sample")
-            rate = fs or 1e9 / float(np.median(np.diff(ts)))
-            x, ts = run_chain(np.stack(pdf["values"].to_list()).astype(float), ts, chain, rate)
-        except (ValueError, ZeroDivisionError) as e:
-            return pd.DataFrame({key: [name], "ts": [None], "seq": [None], "values": [None], "error": [f"{type(e).__name__}: {e}"]})
-        return pd.DataFrame({key: name, "ts": ts, "seq": np.arange(len(ts)), "values": list(x), "error": None})
-
-    out = stream.select(key, "ts", "seq", "values").groupBy(key).applyInPandas(run, f"`{key}` {kind}, ts long, seq long, `values` array<double>, error string")
-    return out.where("error IS NULL").drop("error"), out.where("error IS NOT NULL").select(key, "error")
+    rows = stream.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("ts", "seq", "values"))).alias("l"))
+    wide = F.size(F.col("l")[0]["values"])
+    refused = F.when(F.exists("l", lambda r: r["values"].isNull()), "ValueError: a frame has no sample").when(F.exists("l", lambda r: F.size(r["values"]) != wide), "ValueError: vectors of different lengths")
+    rows = rows.select(key, F.transform("l", lambda r: r["ts"]).alias("t"), F.flatten(F.transform("l", lambda r: r["values"].cast("array<double>"))).alias("x"), wide.alias("wide"), refused.alias("refused"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for t, x, n, no in zip(b.column(1), b.column(2), b.column(3).to_pylist(), b.column(4).to_pylist()):
+                try:
+                    if no:
+                        raise ValueError(no.partition(": ")[2])
+                    ts = t.values.to_numpy(zero_copy_only=False)
+                    rate = fs or 1e9 / float(np.median(np.diff(ts)))
+                    y, ts = run_chain(x.values.to_numpy(zero_copy_only=False).reshape(len(ts), n), ts, chain, rate)
+                    out.append((ts, np.ascontiguousarray(y, float).ravel(), y.shape[1], None))
+                except (ValueError, ZeroDivisionError) as e:
+                    out.append((None, None, None, f"{type(e).__name__}: {e}"))
+            kinds = [pa.list_(pa.int64()), pa.list_(pa.float64()), pa.int32(), pa.string()]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 4, kinds))], [key, "t", "x", "wide", "error"])
+
+    out = rows.mapInArrow(run, f"`{key}` {kind}, t array<long>, x array<double>, wide int, error string")
+    done = out.where("error IS NULL").select(key, "x", "wide", F.posexplode("t").alias("at", "ts"))
+    values = F.slice("x", F.col("at") * F.col("wide") + 1, F.col("wide")).alias("values")
+    return done.select(key, "ts", F.col("at").cast("long").alias("seq"), values), out.where("error IS NOT NULL").select(key, "error")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 from epiframe.contract import Contract, Stream, scan_window
 from epiframe.functions.decoders import decode
 from epiframe.operators import asof
-from epiframe.operators.episodes import degenerate, keep_monotonic
+from epiframe.operators.episodes import degenerate, keep_monotonic, within
 from epiframe.operators.transforms import transform
+from epiframe.sources.shared import staged
 
 
 @dataclass
@@ -26,10 +28,10 @@ class Frames:
 def samples(messages: DataFrame, episodes: DataFrame, stream: Stream, contract: Contract) -> DataFrame:
     """``episode, ts, seq, values`` of one stream: an episode reads its scope's messages within its scan window."""
     before, after = (abs(x) for x in scan_window(contract, 0, 0))
-    bounds = episodes.select("episode", F.col("scope").alias("_scope"), (F.col("start_ns") - before).alias("_lo"), (F.col("end_ns") + after).alias("_hi"))
+    bounds = episodes.select("episode", "scope", (F.col("start_ns") - before).alias("_lo"), (F.col("end_ns") + after).alias("_hi"))
     values = decode(stream.type, messages.schema, stream.names)
-    own = messages.where(F.col("topic") == stream.topic).select(F.col("scope").alias("_s"), "ts", "seq", values.alias("values"))
-    return own.join(bounds, (F.col("_s") == F.col("_scope")) & F.col("ts").between(F.col("_lo"), F.col("_hi"))).select("episode", "ts", "seq", "values")
+    own = messages.where(F.col("topic") == stream.topic).select("scope", "ts", "seq", values.alias("values"))
+    return within(own, bounds, "scope", "ts", "_lo", "_hi").select("episode", "ts", "seq", "values")
 
 
 def build_frames(messages: DataFrame, episodes: DataFrame, contract: Contract, slice_ns: int | None = None) -> Frames:
@@ -42,9 +44,15 @@ def build_frames(messages: DataFrame, episodes: DataFrame, contract: Contract, s
     """
     grid = asof.timeline(episodes, "episode", contract.step_ns)
     skipped, columns = [], {}
+    scans, used = {}, Counter((s.topic, s.type, s.names) for s in contract.observations + contract.actions)
+    for s in contract.observations + contract.actions:
+        key = (s.topic, s.type, s.names)
+        if key not in scans:  # streams that take the same of one topic share its scan
+            rows = samples(messages, episodes, s, contract)
+            scans[key] = staged(rows, "scan") if used[key] > 1 else rows
     for s in contract.observations + contract.actions:
         action = s in contract.actions
-        rows = samples(messages, episodes, s, contract)
+        rows = scans[s.topic, s.type, s.names]
         if action:
             rows = keep_monotonic(rows, ["episode"])
         bad = degenerate(rows, "episode")

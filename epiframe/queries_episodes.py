@@ -51,8 +51,9 @@ def dedup_rollup(spark, sf_dir):
     return episodes.dedup_rollup(episodes.dedup_topics(_topics(spark, sf_dir))[1])
 
 
-_ROLES = """s AS (SELECT n_name AS key, 'role_' || (n_regionkey % 3) AS role, ['p' || (n_nationkey % 4)] AS names FROM nation),
-f AS (SELECT s_suppkey AS file_id, 'role_' || (s_suppkey % 20) AS role, 'topic_' || t AS topic, ['p' || t, 'p' || (t + 1)] AS paths FROM supplier, range(0, 3) r(t) WHERE s_suppkey <= 21)"""
+_ROLES = """s AS (SELECT n_name AS key, 'role_' || n_nationkey AS role, ['p' || (n_nationkey % 5)] AS names FROM nation),
+g AS (SELECT s_suppkey AS file_id, s_nationkey AS nation, count(*) OVER (PARTITION BY s_nationkey) AS n FROM supplier),
+f AS (SELECT file_id, 'role_' || nation AS role, 'topic_' || t AS topic, ['p' || t, 'p' || (t + 1 + n % 2)] AS paths FROM g, range(0, 3) r(t))"""
 
 
 @query(f"""WITH {_ROLES}, n AS (SELECT role, count(DISTINCT file_id) AS nf FROM f GROUP BY role),
@@ -61,19 +62,20 @@ x AS (SELECT s.key, s.role, CASE WHEN coalesce(nf, 0) = 0 THEN 'role not found'
 SELECT key, role, status, CASE WHEN status = 'ok' THEN topic END AS topic FROM x""")
 def role_binding(spark, sf_dir):
     """The topic of each role-bound stream, or why it has none."""
-    n, s = tables.read(spark, sf_dir, "nation"), tables.read(spark, sf_dir, "supplier").where("s_suppkey <= 21")
-    specs = n.select(F.col("n_name").alias("key"), F.concat(F.lit("role_"), F.col("n_regionkey") % 3).alias("role"), F.array(F.concat(F.lit("p"), F.col("n_nationkey") % 4)).alias("names"))
-    files = s.select(F.col("s_suppkey").alias("file_id"), F.concat(F.lit("role_"), F.col("s_suppkey") % 20).alias("role"), F.explode(F.array(*map(F.lit, range(3)))).alias("t"))
-    files = files.select("file_id", "role", F.concat(F.lit("topic_"), "t").alias("topic"), F.array(F.concat(F.lit("p"), "t"), F.concat(F.lit("p"), F.col("t") + 1)).alias("paths"))
+    n, s = tables.read(spark, sf_dir, "nation"), tables.read(spark, sf_dir, "supplier")
+    specs = n.select(F.col("n_name").alias("key"), F.concat(F.lit("role_"), F.col("n_nationkey")).alias("role"), F.array(F.concat(F.lit("p"), F.col("n_nationkey") % 5)).alias("names"))
+    more = F.count("*").over(Window.partitionBy("s_nationkey")) % 2
+    files = s.select(F.col("s_suppkey").alias("file_id"), F.concat(F.lit("role_"), F.col("s_nationkey")).alias("role"), more.alias("more"), F.explode(F.array(*map(F.lit, range(3)))).alias("t"))
+    files = files.select("file_id", "role", F.concat(F.lit("topic_"), "t").alias("topic"), F.array(F.concat(F.lit("p"), "t"), F.concat(F.lit("p"), F.col("t") + 1 + F.col("more"))).alias("paths"))
     return episodes.bind_roles(specs, files)
 
 
-@query("SELECT n_name AS topic FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_custkey < 40)")
+@query("SELECT DISTINCT p_type AS topic FROM part WHERE p_type NOT IN (SELECT p_type FROM part JOIN lineitem ON l_partkey = p_partkey WHERE l_quantity = 50 AND l_discount = 0 AND l_tax = 0)")
 def missing_topics(spark, sf_dir):
     """Wanted topics that nothing offers."""
-    n, c = tables.read(spark, sf_dir, "nation"), tables.read(spark, sf_dir, "customer").where("c_custkey < 40")
-    found = n.join(c, F.col("n_nationkey") == F.col("c_nationkey")).select(F.col("n_name").alias("topic"))
-    return episodes.missing_topics(n.select(F.col("n_name").alias("topic")), found)
+    p, li = tables.read(spark, sf_dir, "part"), tables.read(spark, sf_dir, "lineitem")
+    offered = p.join(li.where("l_quantity = 50 AND l_discount = 0 AND l_tax = 0"), F.col("p_partkey") == F.col("l_partkey")).select(F.col("p_type").alias("topic"))
+    return episodes.missing_topics(p.select(F.col("p_type").alias("topic")).distinct(), offered)
 
 
 _EP = f"""{_M}, ep AS (SELECT o_orderkey AS episode, o_custkey AS scope, epoch_us(o_orderdate) * 1000 AS start_ns, epoch_us(o_orderdate) * 1000 + {20 * DAY} AS end_ns, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE '' END AS label FROM orders)"""
@@ -227,12 +229,12 @@ def frames_lead(spark, sf_dir):
     return _cells(_frames(spark, sf_dir, 2))
 
 
-@query("SELECT vec_id, label AS episode, round(list_sum(list_transform(range(1, 7), lambda i: (embedding[i + 6]::DOUBLE - embedding[i]::DOUBLE))), 6) AS total FROM embeddings")
+@query("SELECT vec_id, label AS episode, round(list_sum(list_transform(range(1, 33), lambda i: (embedding[i + 32]::DOUBLE - embedding[i]::DOUBLE))), 6) AS total FROM embeddings")
 def enrich_diff(spark, sf_dir):
     """Action minus state."""
     e = tables.read(spark, sf_dir, "embeddings")
     v = F.col("embedding").cast("array<double>")
-    f = e.select("vec_id", F.col("label").alias("episode"), F.slice(v, 1, 6).alias("state"), F.slice(v, 7, 6).alias("action"))
+    f = e.select("vec_id", F.col("label").alias("episode"), F.slice(v, 1, 32).alias("state"), F.slice(v, 33, 32).alias("action"))
     return dataset.enrich(f, "diff").select("vec_id", "episode", F.round(F.aggregate("diff", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
@@ -351,7 +353,9 @@ def replay_hold(spark, sf_dir):
     return out.select("scope", "ts", F.round(F.col("frame")["view"], 6).alias("view"), F.round(F.col("frame")["click"], 6).alias("click"))
 
 
-@query(None)
+@query(f"""WITH {_M}, s AS (SELECT scope, min(ts) AS a, max(ts) AS b FROM m GROUP BY scope), g AS (SELECT scope, a + unnest(range(0, (b - a) // {STEP} + 1)) * {STEP} AS ts FROM s),
+x AS (SELECT scope, ts, arg_min(value, seq) AS value FROM m WHERE topic = 'view' GROUP BY scope, ts)
+SELECT g.scope, g.ts, round(x.value, 6) AS view FROM g ASOF JOIN x ON g.scope = x.scope AND g.ts > x.ts WHERE g.ts - x.ts <= {5 * DAY}""")
 def replay_nearest(spark, sf_dir):
     """Replay with the nearest buffered sample."""
     from epiframe.streaming import live
@@ -368,7 +372,14 @@ def _filtered(spark, sf_dir, *chain):
     return out.select("scope", "ts", "seq", F.round(F.get("values", F.lit(0)), 6).alias("v0"), F.round(F.get("values", F.lit(1)), 6).alias("v1"))
 
 
-@query(None)
+@query(f"""WITH {_M}, v AS (SELECT scope, ts, seq, value, k FROM m WHERE topic = 'view'), d AS (SELECT *, ts - lag(ts) OVER (PARTITION BY scope ORDER BY ts, seq) AS d FROM v),
+s AS (SELECT scope, min(ts) AS a, max(ts) - min(ts) AS span, round_even((max(ts) - min(ts)) / quantile_cont(d, 0.5), 0)::BIGINT AS steps, count(*) AS n FROM d GROUP BY scope),
+g AS (SELECT scope, i, a + CASE WHEN i = steps THEN span ELSE round_even(i::DOUBLE * (span::DOUBLE / steps), 0)::BIGINT END AS ts FROM (SELECT *, unnest(range(0, steps + 1)) AS i FROM s WHERE n > 1)),
+t AS (SELECT scope, ts, arg_min(value, seq) AS f0, arg_min(k, seq) AS f1, arg_max(value, seq) AS l0, arg_max(k, seq) AS l1 FROM v GROUP BY scope, ts),
+b AS (SELECT g.*, t.ts AS bt, l0, l1 FROM g ASOF LEFT JOIN t ON g.scope = t.scope AND g.ts > t.ts),
+x AS (SELECT b.*, t.ts AS nt, f0, f1 FROM b ASOF LEFT JOIN t ON b.scope = t.scope AND b.ts <= t.ts)
+SELECT scope, ts, i AS seq, round(CASE WHEN ts - bt < nt - ts THEN l0 ELSE f0 END, 6) AS v0, round(CASE WHEN ts - bt < nt - ts THEN l1 ELSE f1 END, 6) AS v1 FROM x
+UNION ALL SELECT scope, ts, 0, round(value, 6), round(k, 6) FROM v JOIN s USING (scope) WHERE n = 1""")
 def resample_uniform(spark, sf_dir):
     """Streams on an even grid of their median step."""
     return _filtered(spark, sf_dir, C.Transform("resample_uniform"))
@@ -380,7 +391,13 @@ def lowpass(spark, sf_dir):
     return _filtered(spark, sf_dir, C.Transform("resample_uniform"), C.Transform("butterworth_lowpass", params={"cutoff_hz": 1e-6}))
 
 
-@query(None)
+# a Butterworth section of order 2 by its textbook coefficients, one row of every stream a step
+@query(f"""WITH RECURSIVE {_M}, w AS (SELECT tan(pi() * 0.1) AS w), q AS (SELECT w * w / (1 + sqrt(2) * w + w * w) AS b, 2 * (w * w - 1) / (1 + sqrt(2) * w + w * w) AS a1, (1 - sqrt(2) * w + w * w) / (1 + sqrt(2) * w + w * w) AS a2 FROM w),
+s AS (SELECT scope, ts, value AS x, k AS u, row_number() OVER (PARTITION BY scope ORDER BY ts, seq) AS rn FROM m WHERE topic = 'view'),
+r AS (SELECT scope, ts, rn, x AS y, (b - a2) * x + 2 * b * x - a1 * x AS z, b * x - a2 * x AS z1, u AS v, (b - a2) * u + 2 * b * u - a1 * u AS t, b * u - a2 * u AS t1 FROM s, q WHERE rn = 1
+UNION ALL SELECT n.scope, n.ts, n.rn, b * n.x + r.z, 2 * b * n.x - a1 * (b * n.x + r.z) + r.z1, b * n.x - a2 * (b * n.x + r.z), b * n.u + r.t, 2 * b * n.u - a1 * (b * n.u + r.t) + r.t1, b * n.u - a2 * (b * n.u + r.t)
+FROM r JOIN s n ON n.scope = r.scope AND n.rn = r.rn + 1, q)
+SELECT scope, ts, rn - 1 AS seq, round(y, 6) AS v0, round(v, 6) AS v1 FROM r""")
 def lowpass_causal(spark, sf_dir):
     """Causal low-pass of streams."""
     return _filtered(spark, sf_dir, C.Transform("butterworth_lowpass_causal", params={"cutoff_hz": 1e-6, "fs_hz": 1e-5}))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from epiframe.operators import metrics as M
-from epiframe.registry import query
+from epiframe.registry import ORACLES, query
 from epiframe.sources import tables
 
 FPS = 10.0
@@ -149,26 +149,48 @@ def action_acf(spark, sf_dir):
 SELECT episode, dim, n, round(1 + 2 * sum(CASE WHEN lag > 0 AND (z IS NULL OR lag < z) THEN r ELSE 0 END), 4) AS tau_int, any_value(half)::DOUBLE AS tau_half, round(n / (1 + 2 * sum(CASE WHEN lag > 0 AND (z IS NULL OR lag < z) THEN r ELSE 0 END)), 3) AS ess FROM r JOIN z USING (episode, dim) GROUP BY episode, dim, n""")
 def autocorrelation(spark, sf_dir):
     """Integrated and half autocorrelation times of states, and the samples they are worth."""
-    a = M.autocorrelation(long(spark, sf_dir), FPS).where("role = 'state'")
+    a = M.autocorrelation(long(spark, sf_dir).where("role = 'state'"), FPS)
     return a.select("episode", "dim", "n", F.round("tau_int", 4).alias("tau_int"), "tau_half", F.round("ess", 3).alias("ess"))
 
 
-@query()
+@query(_acf_sql("action").replace("CASE_CAP", "least(n // 4, 20)") + """, z AS (SELECT episode, dim, min(lag) FILTER (r < 0) AS z FROM r GROUP BY ALL),
+e AS (SELECT episode, dim, n / (1 + 2 * sum(CASE WHEN lag > 0 AND (z IS NULL OR lag < z) THEN r ELSE 0 END)) AS ess FROM r JOIN z USING (episode, dim) GROUP BY episode, dim, n), m AS (SELECT episode, avg(ess) AS e FROM e GROUP BY episode)
+SELECT round(sum(e), 3) AS total_ess_action FROM m""")
 def ess_total(spark, sf_dir):
     """Action samples that the whole dataset is worth."""
-    return M.ess_total(M.autocorrelation(long(spark, sf_dir), FPS)).select(F.round("total_ess_action", 3).alias("total_ess_action"))
+    return M.ess_total(M.autocorrelation(long(spark, sf_dir).where("role = 'action'"), FPS)).select(F.round("total_ess_action", 3).alias("total_ess_action"))
 
 
-@query()
+DIMS = 32
+
+# embeddings in the roles of frames: 32 numbers of state and 32 of action, in single precision; d: steps to the next frame, v: the same with the last repeated
+_EMB = f"""WITH f AS (SELECT label::BIGINT AS episode, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame, embedding::DOUBLE[] AS e FROM embeddings),
+x AS (SELECT episode, frame, i AS dim, e[i + 1] AS s, e[i + {DIMS + 1}] AS a FROM f, range(0, {DIMS}) t(i)),
+d AS (SELECT *, lead(s) OVER w - s AS ds, lead(a) OVER w - a AS da, s - lag(s) OVER w AS bs, a - lag(a) OVER w AS ba, count(*) OVER (PARTITION BY episode, dim) AS n FROM x WINDOW w AS (PARTITION BY episode, dim ORDER BY frame))"""
+
+
+def _aligned(spark, sf_dir):
+    return M.alignment(M.long_form(tables.embedding_frames(spark, sf_dir)), [(i, i) for i in range(DIMS)], FPS)
+
+
+@query(_EMB + """, v AS (SELECT episode, dim, frame, n, coalesce(ds, bs, 0) * 10 AS s, coalesce(da, ba, 0) * 10 AS a FROM d WHERE n >= 4),
+z AS (SELECT episode, dim, frame, n, (s - avg(s) OVER w) / stddev_pop(s) OVER w AS s, (a - avg(a) OVER w) / stddev_pop(a) OVER w AS a FROM v WINDOW w AS (PARTITION BY episode, dim)),
+k AS (SELECT unnest(range(-10, 11)) AS lag),
+c AS (SELECT p.episode, p.dim, k.lag, sum(p.a * q.s) / greatest(any_value(p.n) - abs(any_value(k.lag)), 1) AS c FROM k CROSS JOIN z p JOIN z q ON q.episode = p.episode AND q.dim = p.dim AND q.frame = p.frame + k.lag WHERE abs(k.lag) <= greatest(1, least(p.n // 4, 10)) GROUP BY ALL),
+b AS (SELECT *, row_number() OVER (PARTITION BY episode, dim ORDER BY round(abs(c), 9) DESC, lag) AS best FROM c)
+SELECT episode, dim::INT AS state_dim, dim::INT AS action_dim, lag::INT AS peak_lag, round(c, 6) AS peak_value FROM b WHERE best = 1""")
 def state_action_alignment(spark, sf_dir):
     """Lags at which actions and states move together."""
-    return M.alignment(M.long_form(tables.embedding_frames(spark, sf_dir)), [(i, i) for i in range(6)], FPS).select("episode", "state_dim", "action_dim", "peak_lag", F.round("peak_value", 6).alias("peak_value"))
+    return _aligned(spark, sf_dir).select("episode", "state_dim", "action_dim", "peak_lag", F.round("peak_value", 6).alias("peak_value"))
 
 
-@query()
+@query(_EMB + """, k AS (SELECT unnest(range(-30, 31)) AS lag), y AS (SELECT * FROM d WHERE ds IS NOT NULL AND n >= 5),
+c AS (SELECT p.episode, p.dim, k.lag, corr(p.da, q.ds) AS r FROM k CROSS JOIN y p JOIN y q ON q.episode = p.episode AND q.dim = p.dim AND q.frame = p.frame + k.lag WHERE abs(k.lag) <= least((p.n - 1) // 4, 30) GROUP BY ALL HAVING count(*) >= 2),
+t AS (SELECT episode, lag, max(r) AS r FROM c WHERE NOT isnan(r) GROUP BY ALL), b AS (SELECT *, row_number() OVER (PARTITION BY episode ORDER BY round(abs(r), 9) DESC, lag) AS best FROM t)
+SELECT episode, lag::INT AS envelope_peak_lag, abs(lag) >= 2 AS alignment_fail FROM b WHERE best = 1""")
 def alignment_flags(spark, sf_dir):
     """Episodes whose actions and states are out of step."""
-    return M.alignment_flags(M.alignment(M.long_form(tables.embedding_frames(spark, sf_dir)), [(i, i) for i in range(6)], FPS))
+    return M.alignment_flags(_aligned(spark, sf_dir))
 
 
 @query()
@@ -177,31 +199,52 @@ def sparc(spark, sf_dir):
     return M.smoothness(long(spark, sf_dir), FPS).select("episode", "role", "dim", F.round("sparc", 5).alias("sparc"))
 
 
-@query("WITH d AS (SELECT label, embedding::DOUBLE[] AS e FROM embeddings), i AS (SELECT unnest(range(1, 7)) AS i) SELECT (a.i - 1)::INT AS i, (b.i - 1)::INT AS j, round(covar_samp(e[a.i], e[b.i]), 8) AS cov FROM d, i a JOIN i b ON b.i >= a.i GROUP BY ALL".replace("FROM d, i a JOIN i b ON b.i >= a.i", "FROM d CROSS JOIN i a JOIN i b ON b.i >= a.i"))
+@query("WITH d AS (SELECT label, embedding::DOUBLE[] AS e FROM embeddings), i AS (SELECT unnest(range(1, 33)) AS i) SELECT (a.i - 1)::INT AS i, (b.i - 1)::INT AS j, round(covar_samp(e[a.i], e[b.i]), 8) AS cov FROM d, i a JOIN i b ON b.i >= a.i GROUP BY ALL".replace("FROM d, i a JOIN i b ON b.i >= a.i", "FROM d CROSS JOIN i a JOIN i b ON b.i >= a.i"))
 def state_covariance(spark, sf_dir):
     """Covariance of the state dims, pooled."""
-    return M.covariance(tables.embedding_frames(spark, sf_dir), "state", 6).select("i", "j", F.round("cov", 8).alias("cov"))
+    return M.covariance(tables.embedding_frames(spark, sf_dir), "state", DIMS).select("i", "j", F.round("cov", 8).alias("cov"))
 
 
 @query()
 def effective_dim(spark, sf_dir):
     """Dimensions that the pooled vectors really use."""
     f = tables.embedding_frames(spark, sf_dir)
-    return M.effective_dim(f, "state", 6).union(M.effective_dim(f, "action", 6)).select("role", "dim", F.round("pr", 6).alias("pr"), "pcs_95", "low")
+    return M.effective_dim(f, "state", DIMS).union(M.effective_dim(f, "action", DIMS)).select("role", "dim", F.round("pr", 6).alias("pr"), "pcs_95", "low")
 
 
-@query()
+@query(f"""WITH d AS (SELECT embedding::DOUBLE[] AS e FROM embeddings), i AS (SELECT unnest(range(1, 65)) AS i),
+c AS (SELECT a.i AS i, b.i AS j, covar_samp(e[a.i], e[b.i]) AS cov FROM d CROSS JOIN i a JOIN i b ON (a.i <= {DIMS}) = (b.i <= {DIMS}) GROUP BY ALL),
+r AS (SELECT CASE WHEN i <= {DIMS} THEN 'state' ELSE 'action' END AS role, sum(cov) FILTER (i = j) AS trace, sum(cov * cov) AS squares FROM c GROUP BY 1)
+SELECT role, {DIMS} AS dim, round(trace * trace / squares, 6) AS pr, trace * trace / squares / {DIMS} < 0.3 AS low FROM r""")
+def participation_ratio(spark, sf_dir):
+    """The participation ratio alone, which needs no eigenvalues in SQL: the trace squared over the sum of squares."""
+    return effective_dim(spark, sf_dir).drop("pcs_95")
+
+
+@query(f"""WITH e AS (SELECT vec_id, list_slice(embedding, 1, {DIMS})::DOUBLE[{DIMS}] AS v FROM embeddings),
+p AS (SELECT a.vec_id, list_distance(a.v::DOUBLE[], b.v::DOUBLE[]) AS d FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+k AS (SELECT vec_id, d, row_number() OVER (PARTITION BY vec_id ORDER BY d) AS rk FROM p), g AS (SELECT d FROM k WHERE rk = 5 AND d > 0),
+s AS (SELECT count(*) AS n, min(d) AS lo, max(d) AS hi, least(30, greatest(4, count(*) // 10)) AS bins FROM g),
+h AS (SELECT least(floor((d - lo) / (hi - lo) * bins), bins - 1) AS bin, count(*) AS c FROM g, s GROUP BY 1)
+SELECT 'state' AS role, (SELECT count(*) FROM e) AS n, round((SELECT ln(n) - sum(c * ln(c)) / any_value(n) FROM h, s GROUP BY n) / ln((SELECT greatest(2, count(*)) FROM h)), 6) AS density_entropy""")
 def density_entropy(spark, sf_dir):
     """How evenly the states lie, from neighbour distances in a bounded sample (sampling is the feature)."""
     return M.density_entropy(tables.embedding_frames(spark, sf_dir), "state").select("role", "n", F.round("density_entropy", 6).alias("density_entropy"))
 
 
+#: The flags of the other queries, by their SQL.
+_FLAGS = """WITH f AS ({filtering}), v AS ({action_velocity}), o AS ({variance_outliers}), s AS ({speed}), m AS (SELECT quantile_cont(p95_jerk, 0.5) AS med FROM s WHERE role = 'action'),
+u AS (SELECT episode, 'outlier_length' AS flag FROM f WHERE outlier_length UNION ALL SELECT episode, 'zero_variance_dim' FROM f WHERE zero_variance_dim UNION ALL SELECT episode, 'high_action_velocity' FROM v WHERE high_action_velocity
+UNION ALL SELECT episode, 'variance_outlier' FROM o WHERE variance_outlier UNION ALL SELECT episode, 'low_movement' FROM s WHERE role = 'action' AND stillness_max_dim > 0.9 UNION ALL SELECT episode, 'jerky_motion' FROM s, m WHERE role = 'action' AND med > 0 AND p95_jerk > 3 * med)
+SELECT episode, string_agg(DISTINCT flag, ',' ORDER BY flag) AS flags FROM u GROUP BY episode"""
+
+
 def _flags(spark, sf_dir):
     rows = long(spark, sf_dir)
     return M.flag_table(M.filtering(rows), M.action_velocity(rows), M.variance_outliers(M.spread(rows, FPS)), M.speed_flags(M.speed(rows, FPS)[0]))
 
 
-@query()
+@query(_FLAGS.format(**{k: ORACLES[k] for k in ("filtering", "action_velocity", "variance_outliers", "speed")}))
 def flag_aggregate(spark, sf_dir):
     """The flags of each flagged episode."""
     return _flags(spark, sf_dir).select("episode", F.array_join("flags", ",").alias("flags"))

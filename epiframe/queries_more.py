@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from epiframe.functions import decoders as D
 from epiframe.functions import scalars
-from epiframe.operators import asof, dataset, episodes, manifests
+from epiframe.operators import asof, dataset, episodes, layouts, manifests
 from epiframe.operators import metrics as M
 from epiframe.queries_align import HOUR, STEP
 from epiframe.queries_episodes import _shards
@@ -64,7 +63,7 @@ def event_routing(spark, sf_dir):
 @query("SELECT event_type AS topic, min(epoch_us(ts)) * 1000 AS first_ns, max(epoch_us(ts)) * 1000 AS last_ns, count(*) AS n FROM events GROUP BY event_type")
 def topic_bounds(spark, sf_dir):
     """First and last time of each topic."""
-    return tables.messages(spark, sf_dir).groupBy("topic").agg(F.min("ts").alias("first_ns"), F.max("ts").alias("last_ns"), F.count("*").alias("n"))
+    return tables.bounds(tables.messages(spark, sf_dir))
 
 
 @query(f"""WITH {SQL_LONG}, s AS (SELECT episode, frame, sqrt(sum(d * d)) AS step FROM dv WHERE role = 'action' AND d IS NOT NULL GROUP BY ALL), e AS (SELECT episode, avg(step) AS v FROM s GROUP BY episode),
@@ -76,19 +75,20 @@ def speed_histogram(spark, sf_dir):
     return M.histogram(M.action_speed(long(spark, sf_dir)), "action_speed", [], bins).select("bin", "n")
 
 
-@query("SELECT (l_suppkey % 3)::INT AS shard, count(DISTINCT l_suppkey) AS n_episodes, count(*) AS n_frames FROM lineitem GROUP BY 1")
+@query("SELECT (l_suppkey % 3)::INT AS shard, count(DISTINCT l_suppkey) AS n_episodes, count(*) AS n_frames, 10.0::DOUBLE AS fps, 'v3.0' AS version FROM lineitem GROUP BY 1")
 def shard_summary(spark, sf_dir):
-    """Episodes and frames of each shard of a merge."""
-    eps = dataset.merge(_shards(spark, sf_dir))[1]
-    return eps.groupBy(F.col("source_shard").alias("shard")).agg(F.count("*").alias("n_episodes"), F.sum("length").alias("n_frames"))
+    """Episodes, frames, rate and version of each shard of a merge, from its info file."""
+    eps = tables.read(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 3).cast("int").alias("shard")).agg(F.count_distinct("l_suppkey").alias("e"), F.count("*").alias("f"))
+    info = F.to_json(F.struct(F.lit("v3.0").alias("codebase_version"), F.lit(10).alias("fps"), F.col("e").alias("total_episodes"), F.col("f").alias("total_frames")))
+    return manifests.shard_summary(eps.select("shard", info.alias("info")))
 
 
 @query("SELECT n_regionkey AS merge_id, count(DISTINCT n_nationkey % 2) AS n_contracts, count(DISTINCT n_nationkey % 2) = 1 AS consistent FROM nation GROUP BY 1")
 def manifest_check(spark, sf_dir):
     """Whether the shards of a merge come from one contract."""
     sha = F.sha2((F.col("n_nationkey") % 2).cast("string"), 256)
-    m = tables.read(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("merge_id")).agg(F.count_distinct(sha).alias("n_contracts"))
-    return m.withColumn("consistent", F.col("n_contracts") == 1)
+    text = F.to_json(F.struct(F.struct(sha.alias("sha256")).alias("contract")))
+    return manifests.contracts(tables.read(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("merge_id"), text.alias("manifest")), "merge_id")
 
 
 @query("SELECT episode_index, source_shard, event FROM (SELECT row_number() OVER (ORDER BY n_regionkey, n_nationkey) - 1 AS episode_index, n_regionkey AS source_shard, n_name AS event FROM nation) WHERE source_shard <> 2")
@@ -125,9 +125,8 @@ def flatten_nested(spark, sf_dir):
     """Samples within a message as rows with their own offsets, then the monotonic filter."""
     o = tables.read(spark, sf_dir, "orders")
     us = F.unix_micros(F.col("o_orderdate").cast("timestamp"))
-    rows = o.select(F.col("o_custkey").alias("scope"), F.col("o_orderkey").alias("k"), us.alias("base"), F.posexplode(F.array(F.col("o_totalprice"), F.col("o_totalprice") + 1)).alias("p", "v"))
-    rows = rows.select("scope", (F.col("base") + F.col("p").cast("long") * 3_600_000_000).alias("ts"), (F.col("k") * 10 + F.col("p")).alias("seq"), "v")
-    return episodes.keep_monotonic(rows, ["scope"]).select("scope", "ts", "v")
+    m = o.select(F.col("o_custkey").alias("scope"), F.col("o_orderkey").alias("seq"), us.alias("ts"), F.array(F.col("o_totalprice"), F.col("o_totalprice") + 1).alias("samples"))
+    return episodes.keep_monotonic(episodes.flattened(m, "samples", 3_600_000_000), ["scope"]).select("scope", "ts", F.col("value").alias("v"))
 
 
 def _layout(spark, sf_dir, version):
@@ -178,8 +177,7 @@ def content_keys(spark, sf_dir):
 def source_order(spark, sf_dir):
     """Events of a scope by start, ties by the larger id first."""
     e = tables.read(spark, sf_dir, "events")
-    order = Window.partitionBy("user_id").orderBy("ts", F.col("event_id").desc())
-    return e.select("event_id", F.col("user_id").alias("scope"), (F.row_number().over(order) - 1).alias("rank"))
+    return episodes.by_start(e, "user_id", "ts", "event_id").select("event_id", F.col("user_id").alias("scope"), "rank")
 
 
 def _method(sql: str) -> str:
@@ -198,4 +196,66 @@ def relabel_sources(spark, sf_dir):
     """Entries relabelled by the kind of their source."""
     o = tables.read(spark, sf_dir, "orders")
     flagged = F.col("o_orderstatus") == "F"
-    return o.select("o_orderkey", flagged.alias("flagged"), F.when(flagged, "session").otherwise("event").alias("kind"), F.coalesce(F.nullif(F.when(flagged, F.col("o_orderpriority")).otherwise(""), F.lit("")), F.lit("none")).alias("label"))
+    return episodes.relabelled(o.select("o_orderkey", "o_orderpriority", flagged.alias("flagged")), F.col("flagged"), F.col("o_orderpriority")).select("o_orderkey", "flagged", "kind", "label")
+
+
+def _whole_layout(spark, sf_dir, version):
+    """A merged dataset with its metadata written packed and converted; (episodes, tasks, stats) read back."""
+    frames, eps, *_ = dataset.merge(_shards(spark, sf_dir))
+    frames = staged(frames.select("episode_index", "frame_index", "index", "task_index", "x"), "merged")
+    tasks = eps.select("task_index", "task").distinct()
+    root, out = new_path(spark, "dataset"), new_path(spark, "dataset")
+    layouts.write_dataset(frames, tasks, root, "v3.0", 10.0, {}, ["x"])
+    layouts.convert(spark, root, out, version)
+    return layouts.read_meta(spark, out, version)
+
+
+_EPISODES = ORACLES["merge_union"].split(" SELECT episode_index, length")[0] + " SELECT episode_index, length::BIGINT AS length, task AS tasks FROM n"
+_TASKS = ORACLES["merge_union"].split(" SELECT episode_index, length")[0] + " SELECT task_index, task FROM t"
+_EP_STATS = """WITH n AS (SELECT l_suppkey AS episode, row_number() OVER (ORDER BY l_suppkey % 3, l_suppkey) - 1 AS episode_index, min(l_quantity) AS min, max(l_quantity) AS max, avg(l_quantity) AS mean, stddev_pop(l_quantity) AS std, count(*) AS count FROM lineitem GROUP BY 1)
+SELECT episode_index, 'x' AS feature, min, max, round(mean, 6) AS mean, round(std, 6) AS std, count FROM n"""
+
+
+def _stats_row(stats):
+    one = lambda c: F.get(c, F.lit(0))
+    return stats.select("episode_index", "feature", one("min").alias("min"), one("max").alias("max"), F.round(one("mean"), 6).alias("mean"), F.round(one("std"), 6).alias("std"), "count")
+
+
+@query(_EPISODES)
+def layout_episodes_v21(spark, sf_dir):
+    """Episodes of a packed dataset after its conversion to lines of JSON."""
+    return _whole_layout(spark, sf_dir, "v2.1")[0].select("episode_index", F.col("length").cast("long").alias("length"), F.array_join("tasks", ",").alias("tasks"))
+
+
+@query(_TASKS)
+def layout_tasks_v21(spark, sf_dir):
+    """Its tasks."""
+    return _whole_layout(spark, sf_dir, "v2.1")[1].select("task_index", "task")
+
+
+@query(_EP_STATS)
+def layout_stats_v21(spark, sf_dir):
+    """Its statistics of each episode."""
+    return _stats_row(_whole_layout(spark, sf_dir, "v2.1")[2])
+
+
+@query(_EP_STATS)
+def layout_stats_v30(spark, sf_dir):
+    """The same in the packed layout."""
+    return _stats_row(_whole_layout(spark, sf_dir, "v3.0")[2])
+
+
+@query("SELECT 5 AS total_shards, (SELECT count(*) FROM nation) AS total_episodes, 4 AS shards_with_manifest, sha256('c') AS sha, c_mktsegment AS name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey <> 2 GROUP BY c_mktsegment")
+def manifest_document(spark, sf_dir):
+    """The merged manifest, written and read again: totals, contract and counts; one shard has lost its own."""
+    n, c = tables.read(spark, sf_dir, "nation"), tables.read(spark, sf_dir, "customer")
+    per = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey", "c_mktsegment").agg(F.count("*").alias("n"))
+    per = per.groupBy("n_regionkey").agg(F.map_from_entries(F.collect_list(F.struct("c_mktsegment", "n"))).alias("episodes_per_dataset"))
+    totals = n.groupBy(F.col("n_regionkey").alias("r")).agg(F.count("*").alias("total_episodes"))
+    contract = F.struct(F.lit("demo").alias("name"), F.sha2(F.lit("c"), 256).alias("sha256")).alias("contract")
+    text = F.when(F.col("r") != 2, F.to_json(F.struct("episodes_per_dataset", "total_episodes", contract)))
+    shards = staged(totals.join(per, F.col("r") == F.col("n_regionkey"), "left").select(F.col("r").alias("shard"), text.alias("manifest"), "total_episodes"), "shards")
+    folder = new_path(spark, "manifest")
+    manifests.write_document(shards, folder)
+    m = spark.read.schema("total_shards long, total_episodes long, shards_with_manifest long, contract struct<sha256:string>, episodes_per_dataset map<string,long>").json(f"{folder}/manifest.json", multiLine=True)
+    return m.select("total_shards", "total_episodes", "shards_with_manifest", F.col("contract.sha256").alias("sha"), F.explode("episodes_per_dataset").alias("name", "n"))

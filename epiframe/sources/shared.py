@@ -44,6 +44,19 @@ def discard(*tables: DataFrame) -> None:
         _at(t.sparkSession, t._staged_at, lambda fs, p: fs.delete(p, True))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, wherever the path is."""
+
+    def put(fs, p) -> None:
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    _at(spark, path, put)
+
+
 def _at(spark: SparkSession, path: str, act: Callable) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     act(p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p)

@@ -37,6 +37,11 @@ def spans(msgs: DataFrame) -> DataFrame:
     return msgs.groupBy("scope").agg(F.min("ts").alias("start_ns"), F.max("ts").alias("end_ns"))
 
 
+def bounds(msgs: DataFrame) -> DataFrame:
+    """``topic, first_ns, last_ns, n``: first and last time of each topic, and its messages."""
+    return msgs.groupBy("topic").agg(F.min("ts").alias("first_ns"), F.max("ts").alias("last_ns"), F.count("*").alias("n"))
+
+
 def chunks(msgs: DataFrame) -> DataFrame:
     """``scope, topic, chunk, start_ns, end_ns, message_count``: messages in chunks of a calendar month."""
     month = F.date_format(F.timestamp_seconds(F.expr("ts div 1000000000")), "yyyyMM")
@@ -61,8 +66,8 @@ def lineitem_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("episode", "frame", F.explode(F.array(*parts)).alias("c")).select("episode", "frame", "c.*")
 
 
-def embedding_frames(spark: SparkSession, sf_dir: str, dims: int = 6) -> DataFrame:
-    """``episode, frame, state, action``: a label is an episode, its vectors are frames; the first dims are state, the next action."""
+def embedding_frames(spark: SparkSession, sf_dir: str, dims: int = 32) -> DataFrame:
+    """``episode, frame, state, action``: a label is an episode, its vectors are frames; the first half of a vector is state, the second action."""
     e = read(spark, sf_dir, "embeddings")
     order = Window.partitionBy("label").orderBy("vec_id")
     vector = F.col("embedding").cast("array<double>")
