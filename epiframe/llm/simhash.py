@@ -1,14 +1,17 @@
 """SimHash near-dedup by multi-index hashing.
 
-Fingerprints are 64-bit majority votes over the XXH64 hashes of word shingles. Two fingerprints at 2 or
-fewer differing bits share a key at one flipped bit or none from either, so every distinct fingerprint is
-entered in the tables of its four 16-bit segments under itself and under each value of the segment's
-Hamming ball of radius 1. A table entry is one key and a bit mask that tells which neighbours it has:
-two primitive values that combine map-side, at most 65 members, so a dense cloud of near copies makes a
-number of rows linear in its size, where matching all pairs of a bucket would make its square. The members
-of an entry are linked to one of them, the complete distance is verified, and links go to connected
-components. No link is lost: of two fingerprints at distance 2 that meet in an entry, both hang on the
-same hub.
+Fingerprints are 64-bit majority votes over the XXH64 hashes of word shingles. Each distinct fingerprint is filed under the
+values of its two 32-bit segments. Of two fingerprints at 2 or fewer differing bits, either the low
+segments are equal or the high ones are within one bit, so a fingerprint looks up its own low value and the ball
+of radius one around its high value (of two values at one bit, the smaller looks for the larger);
+what a bucket returns is verified by the complete distance. Segments of 32 bits keep chance meetings few at billions of
+fingerprints.
+
+A bucket of more than ``dense`` fingerprints is a cloud of near copies, where meeting all pairs would make the square of its
+size. Those that look into one are keyed by the other segment as well: by the whole fingerprint under each value of the ball of radius
+one. An entry is one key and a bit mask that tells which neighbours it has, two primitive values that combine map-side, 65 members at
+most; they are linked to one of them. Of two fingerprints at distance 2 that meet in an entry both hang on the same hub,
+so no link is lost, and rows are linear in the cloud.
 
 Defined results: a null text has no words, so fingerprint zero; a null id joins its component without
 being its name, and a component of null ids only has a null name; repeated rows are repeated in the
@@ -31,7 +34,6 @@ from epiframe.llm.common import staged
 from epiframe.llm.graph import components
 
 SEED = 42
-SEGMENT = 16
 
 
 def fingerprint(text: str | None, size: int = 3) -> int:
@@ -60,21 +62,39 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fp long")
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """Edges ``u, v`` that join all fingerprints of the column ``fp`` at 2 or fewer differing bits."""
-    one = F.lit(1).cast("long")
-    entries = []
-    for start in range(0, 64, SEGMENT):
-        flips = F.explode(F.sequence(F.lit(start), F.lit(start + SEGMENT - 1))).alias("bit")
-        entries.append(fps.select("fp", flips).select(F.col("fp").bitwiseXOR(F.call_function("shiftleft", one, F.col("bit"))).alias("key"), F.call_function("shiftleft", one, F.col("bit")).alias("mask"), F.lit(0).alias("own")))
-    table = fps.select(F.col("fp").alias("key"), F.lit(0).cast("long").alias("mask"), F.lit(1).alias("own"))
-    for e in entries:
-        table = table.union(e)
+def _bit(b: Column | int) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(b) if isinstance(b, int) else b)
+
+
+def links(fps: DataFrame, dense: int = 64) -> DataFrame:
+    """Edges ``u, v`` that join all fingerprints of the column ``fp`` (distinct) at 2 or fewer differing bits."""
+    low, high = F.col("fp").bitwiseAND(F.lit((1 << 32) - 1)), F.call_function("shiftrightunsigned", F.col("fp"), F.lit(32))
+    of_low = low + F.lit(1 << 32)  # keys of the low segment's table
+    filed = fps.select(F.explode(F.array(high, of_low)).alias("key"), F.col("fp").alias("v"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(31)), lambda b: F.col("high").bitwiseAND(_bit(b)) == 0)
+    ball = F.concat(F.array(F.col("high"), F.col("low")), F.transform(bits, lambda b: F.col("high") + _bit(b)))
+    looked = fps.select("fp", high.alias("high"), of_low.alias("low")).select(F.col("fp").alias("u"), F.posexplode(ball).alias("at", "key"))
+    crowded = staged(filed.groupBy("key").count().where(F.col("count") > dense).select("key"), "simhash-dense")
+    if crowded.isEmpty():
+        return _verified(looked, filed)
+    cloud = staged(looked.join(crowded, "key").select(F.col("u").alias("fp")).distinct(), "simhash-cloud")
+    return _verified(looked, filed.join(crowded, "key", "left_anti")).union(cloud_links(cloud))
+
+
+def _verified(looked: DataFrame, filed: DataFrame) -> DataFrame:
+    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))).between(1, 2)
+    return looked.join(filed, "key").where(near & ((F.col("at") > 1) | (F.col("u") < F.col("v")))).select("u", "v")
+
+
+def cloud_links(fps: DataFrame) -> DataFrame:
+    """The same edges up to those that a hub stands for, in rows linear in the fingerprints however close they lie."""
+    own = fps.select(F.col("fp").alias("key"), F.lit(0).cast("long").alias("mask"), F.lit(1).alias("own"))
+    flips = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit"))
+    table = own.union(flips.select(F.col("fp").bitwiseXOR(_bit(F.col("bit"))).alias("key"), _bit(F.col("bit")).alias("mask"), F.lit(0).alias("own")))
     table = table.groupBy("key").agg(F.bit_or("mask").alias("mask"), F.max("own").alias("own")).where(F.bit_count("mask") + F.col("own") > 1)
-    flips = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.col("mask").bitwiseAND(F.call_function("shiftleft", one, b)) != 0)
-    members = table.select("key", "own", flips.alias("bits"))
-    hub = F.when(F.col("own") == 1, F.col("key")).otherwise(F.col("key").bitwiseXOR(F.call_function("shiftleft", one, F.element_at("bits", 1))))
-    edges = members.select("key", hub.alias("v"), F.explode("bits").alias("bit")).select(F.col("key").bitwiseXOR(F.call_function("shiftleft", one, F.col("bit"))).alias("u"), "v")
+    members = table.select("key", "own", F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.col("mask").bitwiseAND(_bit(b)) != 0).alias("bits"))
+    hub = F.when(F.col("own") == 1, F.col("key")).otherwise(F.col("key").bitwiseXOR(_bit(F.element_at("bits", 1))))
+    edges = members.select("key", hub.alias("v"), F.explode("bits").alias("bit")).select(F.col("key").bitwiseXOR(_bit(F.col("bit"))).alias("u"), "v")
     return edges.where((F.col("u") != F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 2))
 
 
