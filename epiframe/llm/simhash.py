@@ -30,24 +30,28 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import staged
+from epiframe.llm.common import discard, staged
 from epiframe.llm.graph import components
 
 SEED = 42
 
 
+def _votes(hashes: np.ndarray) -> int:
+    """Majority vote of 64-bit hashes, as a signed integer."""
+    votes = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at : at + (1 << 16)]
+        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def fingerprint(text: str | None, size: int = 3) -> int:
     """Majority vote of the shingles' hashes, as an unsigned integer."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: ASCII only, as the contract has it
     if not words:
         return 0
     shingles = map(b" ".join, zip(*(words[i:] for i in range(size)))) if len(words) >= size else [b" ".join(words)]
-    hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), dtype="<u8")
-    votes = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)]
-        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return _votes(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), dtype="<u8")) % (1 << 64)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
@@ -129,7 +133,7 @@ def _frequent(texts: DataFrame, size: int, share: int = 16, least: int = 4, most
             for t in b.column(1):
                 yield pa.RecordBatch.from_arrays([pa.array(_shingle_hashes(t.as_py(), size))], ["h"])
 
-    sample = texts.where(F.pmod(F.xxhash64("_id"), F.lit(share)) == 0).mapInArrow(run, "h long")
+    sample = texts.where(F.pmod(F.xxhash64("_id"), F.lit(share)) == 0).select("_id", "_text").mapInArrow(run, "h long")
     found = sample.groupBy("h").count().where(F.col("count") >= least).orderBy(F.desc("count"), "h").limit(most).collect()
     h, n = np.array([r["h"] for r in found], np.int64), np.array([r["count"] for r in found], np.int64)
     order = h.argsort()
@@ -139,28 +143,34 @@ def _frequent(texts: DataFrame, size: int, share: int = 16, least: int = 4, most
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, rounds: int = 2) -> DataFrame:
     """``id_col, group_id`` of rows whose sets of ``size``-word shingles have a Jaccard similarity of ``similarity`` or more.
 
-    Equal texts are one text first. In any one order of all shingles, two sets that are similar share one of
+    Equal texts are one text first. Fingerprints over the shingle sets and multi-index hashing then join the closest texts,
+    whatever the size of their group. Fingerprints alone would lose links, as two texts at a similarity of 0.8 differ by ten bits,
+    give or take five; a set join finds the rest. In any one order of all shingles, two sets that are similar share one of
     their first ``n - ceil(similarity * n) + 1`` (n is a set's size), so these are a text's entries; rare shingles
     come first, which keeps tables small in a crowd that shares a template. In ``rounds`` rounds each table entry's texts
-    are tried against one of them and similar ones are joined. Then all pairs of an entry's texts
-    that are not yet in one group are tried, so no link between groups is lost. Candidates are verified on whole texts. The
-    group's id is its smallest row id; null texts are empty; rows with a null id are groups of their own (null group).
+    are tried against one of them, the one with the fewest shingles of its own at first, and similar ones are joined. Then all pairs of
+    an entry's texts that are not yet in one group are tried, so no link between groups is lost. All candidates are verified on
+    whole texts.
+
+    The group's id is its smallest row id; null texts are empty; rows of one id with several texts belong to a group by each; rows with
+    a null id are groups of their own (null group); an empty table gives an empty result; other columns are ignored.
     """
     base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     key = F.struct(F.xxhash64("_text").alias("a"), F.xxhash64(F.lit(1), F.col("_text")).alias("b"))
-    ids = staged(base.select("_id", key.alias("_k")), "near-ids")
-    first = staged(ids.groupBy("_k").agg(F.min("_id").alias("_first")), "near-texts")
-    kind = docs.schema[id_col].dataType.simpleString()
-    texts = staged(base.join(first.select(F.col("_first").alias("_id")), "_id", "left_semi").dropDuplicates(["_id"]), "near-whole")
+    ids = staged(base.select(F.col("_id").alias(id_col), key.alias("_k")), "near-ids")
+    # each distinct text under a number of its own
+    texts = base.groupBy(key.alias("_k")).agg(F.min("_id").alias("_first"), F.first("_text").alias("_text"))
+    texts = staged(texts.withColumn("_id", F.monotonically_increasing_id()).select("_id", "_text", "_first", "_k"), "near-texts")
     common, counts = _frequent(texts, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, len(whole), 1000):
                 b = whole.slice(start, 1000)
-                hs, sizes = [np.zeros(0, np.int64)], []
+                hs, sizes, prints = [np.zeros(0, np.int64)], [], []
                 for t in b.column(1):
                     h = _shingle_hashes(t.as_py(), size)
+                    prints.append(_votes(h))
                     if len(common):
                         at = np.minimum(np.searchsorted(common, h), len(common) - 1)
                         h = h[np.argsort(np.where(common[at] == h, counts[at], 0), kind="stable")]
@@ -169,12 +179,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 lengths = [len(h) for h in hs[1:]]
                 rows = np.repeat(np.arange(len(b)), lengths)
                 places = np.concatenate([np.zeros(0, np.int32), *(np.arange(n, dtype=np.int32) for n in lengths)])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), b.column(0).take(pa.array(rows)), pa.array(np.array(sizes, np.int32)[rows]), pa.array(places)], ["h", "_id", "n", "at"])
+                names = ["h", "_id", "n", "at"]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), b.column(0).take(pa.array(rows)), pa.array(np.array(sizes, np.int32)[rows]), pa.array(places)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.int64()), b.column(0), pa.array(sizes, pa.int32()), pa.array([-1] * len(b), pa.int32())], names)
 
-    entries = staged(texts.mapInArrow(run, f"h long, _id {kind}, n int, at int"), "near-entries")
-    # written tables: AQE splits a hot key of a join only where no aggregate stands between join and shuffle
-    many = staged(entries.groupBy("h").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).where("low < high").select("h"), "near-common")
-    shared = staged(entries.join(many, "h"), "near-shared")
+    both = staged(texts.select("_id", "_text").mapInArrow(run, "h long, _id long, n int, at int"), "near-entries")
+    entries = both.where("at >= 0")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[str, set[bytes]] = ("", {b""})
@@ -190,9 +200,25 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def similar(pairs: DataFrame) -> DataFrame:
         """Of pairs ``u, v`` those whose texts are similar."""
-        with_u = staged(pairs.distinct(), "near-pairs").join(texts.select(F.col("_id").alias("u"), F.col("_text").alias("tu")), "u")
+        pairs = staged(pairs.distinct(), "near-pairs")
+        with_u = pairs.join(texts.select(F.col("_id").alias("u"), F.col("_text").alias("tu")), "u")
         with_v = with_u.join(texts.select(F.col("_id").alias("v"), F.col("_text").alias("tv")), "v").select("u", "v", "tu", "tv")
-        return staged(with_v.mapInArrow(verify, f"u {kind}, v {kind}"), "near-links")
+        found = staged(with_v.mapInArrow(verify, "u long, v long"), "near-links")
+        discard(pairs)
+        return found
+
+    # tables by fingerprint: each text against its fingerprint's first, and these against those of 2 or fewer other bits
+    prints = both.where("at < 0").select(F.col("h").alias("fp"), "_id")
+    fps = staged(prints.groupBy("fp").agg(F.min("_id").alias("low")), "near-prints")
+    equal = prints.join(fps, "fp").where("_id <> low").select(F.col("_id").alias("u"), F.col("low").alias("v"))
+    close = staged(links(fps.select("fp")).distinct(), "near-close")
+    close = close.join(fps.select(F.col("fp").alias("u"), F.col("low").alias("a")), "u").join(fps.select(F.col("fp").alias("v"), F.col("low").alias("b")), "v")
+    edges = similar(equal.union(close.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+
+    # written tables: AQE splits a hot key of a join only where no aggregate stands between join and shuffle
+    many = staged(entries.groupBy("h").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).where("low < high").select("h"), "near-common")
+    shared = staged(entries.join(many, "h"), "near-shared")
+    discard(both, many)
 
     def possible(a: str, b: str) -> Column:
         """By their sizes and what follows a shingle; it holds for two similar texts at the first shingle they share."""
@@ -200,29 +226,32 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rest = F.least(n - F.col(f"{a}.at"), m - F.col(f"{b}.at"))
         return rest * (1 + similarity) + 1e-6 >= similarity * (n + m)
 
-    def unsettled(edges: DataFrame | None) -> DataFrame:
+    def unsettled() -> DataFrame:
         """Entries of the tables that hold texts of several groups, with their ``root``."""
-        if edges is None:
-            return shared.withColumn("root", F.col("_id"))
         roots = staged(components(edges).where("node <> root"), "near-roots")
         rooted = staged(shared.join(roots, shared._id == roots.node, "left").select("h", "_id", "n", "at", F.coalesce("root", "_id").alias("root")), "near-rooted")
         several = staged(rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h"), "near-several")
-        return rooted.join(several, "h")
+        left = staged(rooted.join(several, "h"), "near-left")
+        discard(roots, rooted, several)
+        return left
 
-    row, edges = F.struct("_id", "n", "at", "root"), None
+    row = F.struct("_id", "n", "at", "root")
     for k in range(rounds):
-        left = staged(unsettled(edges), "near-left")
-        hubs = staged(left.groupBy("h").agg(F.min(F.struct(F.xxhash64(F.lit(k), F.col("_id")).alias("by"), row.alias("o"))).alias("hub")).select("h", F.col("hub.o").alias("o")), "near-hubs")
+        left = unsettled()
+        by = F.struct((F.col("at") if k == 0 else F.lit(0)).alias("at"), F.xxhash64(F.lit(k), F.col("_id")).alias("by"))
+        hubs = staged(left.groupBy("h").agg(F.min(F.struct(by.alias("by"), row.alias("o"))).alias("hub")).select("h", F.col("hub.o").alias("o")), "near-hubs")
         tried = left.select("h", row.alias("m")).join(hubs, "h").where((F.col("m.root") != F.col("o.root")) & possible("m", "o"))
-        found = similar(tried.select(F.col("m._id").alias("u"), F.col("o._id").alias("v")))
-        edges = found if edges is None else edges.union(found)
-    left = staged(unsettled(edges), "near-left")
+        edges = edges.union(similar(tried.select(F.col("m._id").alias("u"), F.col("o._id").alias("v"))))
+        discard(left, hubs)
+    left = unsettled()
     met = (F.col("m.root") < F.col("o.root")) & possible("m", "o")
     tried = left.select("h", row.alias("m")).join(left.select(F.col("h").alias("g"), row.alias("o")), (F.col("h") == F.col("g")) & met)
-    found = similar(tried.select(F.col("m._id").alias("u"), F.col("o._id").alias("v")))
-    roots = components(found if edges is None else edges.union(found))
-    named = staged(first.join(roots, first._first == roots.node, "left").select("_k", F.coalesce("root", "_first").alias("group_id")), "near-names")
-    return ids.join(named, "_k").select(F.col("_id").alias(id_col), "group_id").distinct()
+    roots = components(edges.union(similar(tried.select(F.col("m._id").alias("u"), F.col("o._id").alias("v")))))
+    grouped = texts.join(roots, texts._id == roots.node, "left").select("_k", "_first", F.coalesce("root", "_id").alias("root"))
+    lowest = staged(grouped.groupBy("root").agg(F.min("_first").alias("group_id")), "near-lowest")
+    named = staged(grouped.join(lowest, "root").select("_k", "group_id"), "near-names")
+    discard(texts, shared, left, lowest)
+    return ids.join(named, "_k").select(id_col, "group_id").distinct()
 
 
 def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
