@@ -204,6 +204,52 @@ def check_online(c: Contract) -> None:
             raise ContractError(f"{s.key}: online alignment is hold or nearest")
 
 
+#: Message types that only a recording has, or whose pictures only an offline run can decode.
+RECORDED_ONLY = ("video", "avi_video", "mp4_video", "foxglove_msgs/CompressedVideo", "foxglove_msgs/msg/CompressedVideo", "foxglove.CompressedVideo")
+
+
+def node_refusals(c: Contract) -> list[str]:
+    """Why no online node can be made for the contract: all that ``check_online`` refuses, and shapes that only a node knows; empty if one can.
+
+    An action's alignment and the rate of its causal filter do not count, as a node passes actions through.
+    """
+    from epiframe.functions.decoders import DECODERS, ENCODERS
+
+    causal, why = "butterworth_lowpass_causal", []
+    for s in c.streams():
+        action, video = s in c.actions, s in c.videos
+        if not action and s.align.method not in ("hold", "nearest"):
+            why.append(f"{s.key}: online alignment is hold or nearest, not {s.align.method}")
+        for t in s.transforms:
+            rate = t.params.get("fs_hz")
+            if video:
+                why.append(f"{s.key}: no transforms on videos online")
+            elif t.type != causal:
+                why.append(f"{s.key}: {t.type} needs later samples and cannot run online")
+            elif not action and t.stage == "pre" and rate is None:
+                why.append(f"{s.key}: a filter before buffering must declare fs_hz")
+            elif not action and t.stage == "post" and rate is not None and float(rate) != c.fps:
+                why.append(f"{s.key}: fs_hz {rate} of a filter after sampling must be the contract's {c.fps}")
+        if action and s.type not in ENCODERS:
+            why.append(f"{s.key}: no encoder for {s.type!r}")
+        if not action and (s.type not in DECODERS or s.type in RECORDED_ONLY):
+            why.append(f"{s.key}: messages of type {s.type!r} do not come online")
+    for key in {s.key for s in c.actions}:
+        own = [s for s in c.actions if s.key == key]
+        if len(own) > 1 and not all(s.names for s in own):
+            why.append(f"{key}: streams that share an action vector must select names, or their widths are unknown")
+    return why
+
+
+def concat_spec(c: Contract, widths: dict[str, int], key: str, action: bool = False) -> tuple[int, list[str]] | None:
+    """Width and names of a base key's whole vector, in order of declaration; None if it has no stream of known width."""
+    known = [s for s in (c.actions if action else c.observations) if s.key == key and (s.names or widths.get(s.unique_key))]
+    if not known:
+        return None
+    spec = features(replace(c, observations=tuple(known), actions=(), videos=()), widths)[key]
+    return spec["shape"][0], spec["names"]
+
+
 def bind_roles(c: Contract, files: dict[str, list[dict[str, Any]]]) -> Contract:
     """Give role-bound streams their topic. ``files``: role to files, a file being ``{path, topics: {topic: [paths]}}``.
 

@@ -259,3 +259,95 @@ def manifest_document(spark, sf_dir):
     manifests.write_document(shards, folder)
     m = spark.read.schema("total_shards long, total_episodes long, shards_with_manifest long, contract struct<sha256:string>, episodes_per_dataset map<string,long>").json(f"{folder}/manifest.json", multiLine=True)
     return m.select("total_shards", "total_episodes", "shards_with_manifest", F.col("contract.sha256").alias("sha"), F.explode("episodes_per_dataset").alias("name", "n"))
+
+
+@query("""WITH RECURSIVE n AS (SELECT l_suppkey AS episode, count(*) AS n FROM lineitem GROUP BY 1), i AS (SELECT episode, n, row_number() OVER (ORDER BY episode) - 1 AS place, row_number() OVER (ORDER BY n DESC, episode) AS rn FROM n),
+r AS (SELECT 0::BIGINT AS rn, [0, 0, 0]::BIGINT[] AS loads, 0 AS pos, 0::BIGINT AS episode UNION ALL
+SELECT i.rn, list_transform(loads, lambda x, k: CASE WHEN k = list_position(loads, list_min(loads)) THEN x + i.n ELSE x END), list_position(loads, list_min(loads)), i.episode FROM r JOIN i ON i.rn = r.rn + 1),
+l AS (SELECT pos - 1 AS shard, episode, row_number() OVER (PARTITION BY pos ORDER BY rn) - 1 AS k, count(*) OVER (PARTITION BY pos) AS m FROM r WHERE rn > 0)
+SELECT shard::INT AS shard, episode, ((k + shard * m // 3) % m)::BIGINT AS place FROM l""")
+def shard_plan(spark, sf_dir):
+    """Episodes dealt over three shards, longest first, each shard's list begun at a place of its own."""
+    n = tables.read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n")).orderBy("l_suppkey").collect()  # a row an episode: the plan is made on the driver
+    plan = dataset.plan_shards([r.n for r in n], 3)
+    return spark.createDataFrame([(k, n[i].l_suppkey, at) for k, own in enumerate(plan) for at, i in enumerate(own)], "shard int, episode long, place long")
+
+
+@query("""WITH RECURSIVE n AS (SELECT l_suppkey % 4 AS shard, l_suppkey AS episode, count(*) AS n, row_number() OVER (PARTITION BY l_suppkey % 4 ORDER BY l_suppkey) AS rn FROM lineitem GROUP BY 1, 2),
+r AS (SELECT shard, episode, rn, n, 0 AS file, n AS total, 0.0::DOUBLE AS start FROM n WHERE rn = 1 UNION ALL SELECT n.shard, n.episode, n.rn, n.n, CASE WHEN r.total + n.n >= 2000 THEN r.file + 1 ELSE r.file END, CASE WHEN r.total + n.n >= 2000 THEN n.n ELSE r.total + n.n END, CASE WHEN r.total + n.n >= 2000 THEN 0 ELSE r.start + r.n / 10.0 END FROM r JOIN n ON n.shard = r.shard AND n.rn = r.rn + 1)
+SELECT shard, episode, file, round(start, 6) AS start, round_even(start * 10, 0)::BIGINT AS start_frame FROM r""")
+def packed_places(spark, sf_dir):
+    """File, second and frame at which each episode begins in a shard's packed files."""
+    import pandas as pd
+
+    n = tables.read(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 4).alias("shard"), F.col("l_suppkey").alias("episode")).agg(F.count("*").alias("n"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("episode")
+        places = dataset.place(pdf.n.tolist(), (pdf.n / 10).tolist(), 2000)
+        return pdf[["shard", "episode"]].assign(file=[f for f, _ in places], start=[s for _, s in places])
+
+    found = n.groupBy("shard").applyInPandas(run, "shard long, episode long, file int, start double")
+    return found.select("shard", "episode", "file", F.round("start", 6).alias("start"), layouts.start_frame(F.col("start"), 10.0).alias("start_frame"))
+
+
+@query("SELECT o_custkey % 7 AS chunk, o_orderstatus AS file, count(*) AS n, min(o_orderkey) AS first, max(o_orderkey) AS last FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY ALL")
+def episodes_by_file(spark, sf_dir):
+    """The episodes of each file of a dataset; those without a place are left out."""
+    o = tables.read(spark, sf_dir, "orders")
+    e = o.select(F.col("o_orderkey").alias("episode_index"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey") % 7).alias("data/chunk"), F.col("o_orderstatus").alias("data/file"))
+    return dataset.by_location(e, "data/chunk", "data/file").select("chunk", "file", F.size("episodes").cast("long").alias("n"), F.element_at("episodes", 1).alias("first"), F.element_at("episodes", -1).alias("last"))
+
+
+@query("SELECT n_nationkey AS shard, count(c_custkey) FILTER (c_acctbal > 9000) AS total_episodes FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1 HAVING count(c_custkey) FILTER (c_acctbal > 9000) > 0")
+def shards_with_episodes(spark, sf_dir):
+    """Shards without an episode drop out of a merge."""
+    n, c = tables.read(spark, sf_dir, "nation"), tables.read(spark, sf_dir, "customer")
+    per = n.join(c, F.col("n_nationkey") == F.col("c_nationkey"), "left").groupBy(F.col("n_nationkey").alias("shard")).agg(F.count(F.when(F.col("c_acctbal") > 9000, 1)).alias("total_episodes"))
+    return manifests.with_episodes(per)
+
+
+@query("SELECT vec_id AS frame, label::BIGINT AS episode, len(embedding)::INT AS n_state, round(embedding[1]::DOUBLE, 6) AS first, 0 AS n_action FROM embeddings")
+def audit_vectors(spark, sf_dir):
+    """A dataset's vectors in the form that the audit takes; one that is missing is empty."""
+    e = tables.read(spark, sf_dir, "embeddings").select(F.col("label").cast("long").alias("episode_index"), F.col("vec_id").alias("frame_index"), F.col("embedding").alias("observation.state"))
+    f = dataset.audit_frames(e)
+    return f.select("frame", "episode", F.size("state").alias("n_state"), F.round(F.get("state", F.lit(0)), 6).alias("first"), F.size("action").alias("n_action"))
+
+
+@query("""WITH v AS (SELECT user_id AS scope, epoch_us(ts) * 1000 AS ts, event_id AS seq FROM events WHERE event_type = 'view'), d AS (SELECT *, ts - lag(ts) OVER (PARTITION BY scope ORDER BY ts, seq) AS d FROM v)
+SELECT scope, count(*) AS n FROM d GROUP BY scope HAVING count(*) <= 9 OR 1e9 / quantile_cont(d, 0.5) / 2 <= 4e-6""")
+def transform_errors(spark, sf_dir):
+    """Streams that a zero-phase filter refuses: too short, or too slow for its cut-off."""
+    from epiframe.contract import Transform
+    from epiframe.operators.transforms import transform
+
+    m = tables.messages(spark, sf_dir).where("topic = 'view'").select("scope", "ts", "seq", F.array("value").alias("values"))
+    errors = transform(m, "scope", [Transform("butterworth_lowpass", params={"cutoff_hz": 4e-6})])[1]
+    return errors.join(m.groupBy("scope").agg(F.count("*").alias("n")), "scope").select("scope", "n")
+
+
+# samples of a causal filter by the recursion of its textbook coefficients, then a sweep
+@query(f"""{ORACLES["lowpass_causal"].rpartition("SELECT scope, ts, rn - 1")[0].rstrip()}, sp AS (SELECT scope, min(ts) AS a, max(ts) AS b FROM m GROUP BY scope),
+gr AS (SELECT scope, a + unnest(range(0, (b - a) // {STEP} + 1)) * {STEP} AS ts FROM sp)
+SELECT gr.scope, gr.ts, round(y.y, 6) AS view FROM gr ASOF JOIN (SELECT scope, ts, arg_max(y, rn) AS y FROM r GROUP BY scope, ts) y ON gr.scope = y.scope AND gr.ts > y.ts WHERE gr.ts - y.ts <= {120 * HOUR}""")
+def replay_filtered(spark, sf_dir):
+    """Replay with a causal filter before the buffer."""
+    from epiframe.streaming import live
+
+    out = live.replay(tables.messages(spark, sf_dir), (live.Online("view", "hold", 120 * HOUR, filter=(1e-5, 1e-6, 2)),), STEP)
+    return out.select("scope", "ts", F.round(F.col("frame")["view"], 6).alias("view"))
+
+
+@query(f"""WITH RECURSIVE {{m}}, {{coefficients}}, sp AS (SELECT scope, min(ts) AS a, max(ts) AS b FROM m GROUP BY scope), gr AS (SELECT scope, a + unnest(range(0, (b - a) // {STEP} + 1)) * {STEP} AS ts FROM sp),
+h AS (SELECT gr.scope, gr.ts, x.value AS x FROM gr ASOF JOIN (SELECT scope, ts, arg_max(value, seq) AS value FROM m WHERE topic = 'view' GROUP BY scope, ts) x ON gr.scope = x.scope AND gr.ts > x.ts WHERE gr.ts - x.ts <= {120 * HOUR}),
+s AS (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY ts) AS rn FROM h),
+r AS (SELECT scope, ts, rn, x AS y, (b - a2) * x + 2 * b * x - a1 * x AS z, b * x - a2 * x AS z1 FROM s, q WHERE rn = 1
+UNION ALL SELECT n.scope, n.ts, n.rn, b * n.x + r.z, 2 * b * n.x - a1 * (b * n.x + r.z) + r.z1, b * n.x - a2 * (b * n.x + r.z) FROM r JOIN s n ON n.scope = r.scope AND n.rn = r.rn + 1, q)
+SELECT scope, ts, round(y, 6) AS view FROM r""".format(m=ORACLES["lowpass_causal"].partition("WITH RECURSIVE ")[2].partition(", w AS (")[0], coefficients="w AS (" + ORACLES["lowpass_causal"].partition(", w AS (")[2].partition(",\ns AS (")[0]))
+def replay_smoothed(spark, sf_dir):
+    """Replay with a causal filter at the tick, over what each tick takes."""
+    from epiframe.streaming import live
+
+    out = live.replay(tables.messages(spark, sf_dir), (live.Online("view", "hold", 120 * HOUR, tick_filter=(1e-5, 1e-6, 2)),), STEP)
+    return out.select("scope", "ts", F.round(F.col("frame")["view"], 6).alias("view"))
