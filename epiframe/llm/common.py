@@ -26,6 +26,14 @@ def fold(id_col: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, behind as many underscores as it takes to differ from all columns of ``df``, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_key(col: Column) -> Column:
     """64-bit hash that tells the rows of one id apart by their text."""
     return F.xxhash64(F.coalesce(col, F.lit("")))

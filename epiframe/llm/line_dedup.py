@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import BLANKS, ascii_lower, staged, text_key
+from epiframe.llm.common import BLANKS, ascii_lower, discard, free_name, staged, text_key
 
 
 def line_key(line: Column) -> Column:
@@ -32,15 +32,15 @@ def dedup_lines(
     """``docs`` with ``text_col`` reduced to the kept lines, plus ``n_lines`` and ``n_dropped``.
 
     Lines whose key has ``min_chars`` code points or more and occurs in ``min_docs`` documents or more are
-    dropped except in the document with the smallest id. ``docs`` must not have ``n_lines`` and
-    ``n_dropped``; columns of these names are replaced.
+    dropped except in the document with the smallest id. If ``docs`` has columns of these names, the counts' names have
+    underscores before them.
     """
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_t"), text.alias("_text"))
     lines = base.select("_id", "_t", F.posexplode(F.split("_text", "\n", -1)).alias("_pos", "_line"))
     keyed = lines.select("_id", "_t", "_pos", line_key(F.col("_line")).alias("_key")).where(F.length("_key") >= min_chars)
-    keyed = keyed.select("_id", "_t", "_pos", F.xxhash64("_key").alias("_h"), F.xxhash64(F.lit(1), F.col("_key")).alias("_g"))
+    # written, as it is read twice
+    keyed = staged(keyed.select("_id", "_t", "_pos", F.xxhash64("_key").alias("_h"), F.xxhash64(F.lit(1), F.col("_key")).alias("_g")), "line-keys")
 
     if min_docs == 2:
         common = keyed.groupBy("_h", "_g").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).where("_first < _last")
@@ -55,15 +55,21 @@ def dedup_lines(
         .groupBy("_id", "_t")
         .agg(F.array_sort(F.collect_set("_pos")).alias("_drop"))
     )
-    packed = F.struct(*[F.col(f"`{c}`") for c in keep])  # so that no other column can clash with the names used here
-    at = docs.select(packed.alias("_row"), F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_t"), F.split(text, "\n", -1).alias("_lines"))
-    joined = at.join(drops, ["_id", "_t"], "left").withColumn("_ends", F.concat(F.array(F.lit(-1)), F.col("_drop"), F.array(F.size("_lines"))))
+    drops = staged(drops, "line-drops")
+    discard(keyed, common)
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # so that no other column can clash with the names used here
+    at = docs.select(packed.alias("_row"), F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_t"))
+    joined = at.join(drops, ["_id", "_t"], "left")
+    own = F.col("_row").getField(text_col)
+    split, ends = F.split(own, "\n", -1), F.concat(F.array(F.lit(-1)), F.col("_drop"), F.array(F.size(F.split(own, "\n", -1))))
     # the lines between two dropped positions are one slice: linear in lines and drops
-    end = lambda k: F.get(F.col("_ends"), k)
-    cuts = F.transform(F.sequence(F.lit(0), F.size("_drop")), lambda k: F.slice(F.col("_lines"), end(k) + 2, end(k + 1) - end(k) - 1))
-    kept = F.when(F.col("_drop").isNull(), F.col("_row").getField(text_col)).otherwise(F.array_join(F.flatten(cuts), "\n"))
+    joined = joined.withColumn("_cut", F.when(F.col("_drop").isNotNull(), F.struct(split.alias("lines"), ends.alias("ends"))))
+    end = lambda k: F.get(F.col("_cut.ends"), k)
+    cuts = F.transform(F.sequence(F.lit(0), F.size("_drop")), lambda k: F.slice(F.col("_cut.lines"), end(k) + 2, end(k + 1) - end(k) - 1))
+    kept = F.when(F.col("_drop").isNull(), own).otherwise(F.array_join(F.flatten(cuts), "\n"))
+    n_lines = F.length(F.coalesce(own, F.lit(""))) - F.length(F.replace(F.coalesce(own, F.lit("")), F.lit("\n"), F.lit(""))) + 1
     return joined.select(
-        *[(kept if c == text_col else F.col("_row").getField(c)).alias(c) for c in keep],
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"),
+        *[(kept if c == text_col else F.col("_row").getField(c)).alias(c) for c in docs.columns],
+        n_lines.cast("long").alias(free_name(docs, "n_lines")),
+        F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias(free_name(docs, "n_dropped")),
     )
