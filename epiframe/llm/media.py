@@ -1,9 +1,9 @@
 """Media columns: content-addressed payloads in tar shards.
 
-A task writes its payloads to a tar shard of its own in shared storage, each once under its digest, and
-gives rows of digest, shard, offset and length. Payloads never go through a shuffle: a payload that many
-tasks hold is in as many shards as tasks, not rows. Metadata columns are filled by range reads of the
-headers, and features by range reads of whole payloads, dealt by shard and range.
+A task writes its payloads to a tar shard of its own in shared storage, each once under its digest. Payloads never go through a
+shuffle, so one that many tasks hold is stored by each of them; a digest's place is the first of these, and all its rows
+carry this digest, shard, offset and length. Metadata columns are filled by range reads of the
+headers, and features by range reads of whole payloads, once a digest, dealt by shard and range.
 
 A shard is renamed to its final name when it is whole and named for its attempt, so a task that runs twice leaves
 a shard that no row names. The index is a written table.
@@ -35,6 +35,7 @@ WIDTH = 576
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 HEADER_BYTES = 33
 _INDEX = "n_bytes long, digest string, shard string, offset long, length long"
+_PLACE = "digest string, shard string, offset long, length long"
 
 
 def pad(data: bytes, unit: int = WIDTH) -> bytes:
@@ -157,56 +158,55 @@ def store_texts(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     return staged(docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, {_INDEX}"), "media-index")
 
 
+def places(index: DataFrame) -> DataFrame:
+    """``digest, shard, offset, length``: one place of each payload."""
+    first = index.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("p"))
+    return staged(first.select("digest", "p.*"), "media-places")
+
+
 def by_range(index: DataFrame, range_bytes: int = 16 << 20) -> DataFrame:
-    """The index dealt by shard and range, in reading order, in as many parts as its bytes need."""
+    """Places dealt by shard and range, in reading order, in as many parts as its bytes need."""
     total = index.agg(F.sum("length")).first()[0] or 0
     parts = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // range_bytes))
     return index.repartition(int(parts), "shard", F.floor(F.col("offset") / range_bytes)).sortWithinPartitions("shard", "offset")
 
 
 def with_headers(index: DataFrame) -> DataFrame:
-    """``index`` plus ``width, height, bits``, from reads of the 33 header bytes of each payload."""
+    """The places plus ``width, height, bits``, from reads of the 33 header bytes of each payload."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, last, got = RangeReader(), None, None
+        reader = RangeReader()
         for b in batches:
-            found = []
-            for shard, offset in zip(b.column("shard").to_pylist(), b.column("offset").to_pylist()):
-                if (shard, offset) != last:
-                    last, got = (shard, offset), png_header(reader.read(shard, offset, HEADER_BYTES))
-                found.append(got)
+            found = [png_header(reader.read(*place, HEADER_BYTES)) for place in zip(b.column("shard").to_pylist(), b.column("offset").to_pylist())]
             cols = list(zip(*found)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, pa.int32()) for c in cols)], [*b.schema.names, "width", "height", "bits"])
 
-    kind = index.schema["id"].dataType.simpleString()
-    return index.mapInArrow(run, f"id {kind}, {_INDEX}, width int, height int, bits int")
+    return index.mapInArrow(run, f"{_PLACE}, width int, height int, bits int")
 
 
 def with_features(index: DataFrame) -> DataFrame:
-    """``index`` plus figures and features of the payloads, read back whole from the shards."""
+    """The places plus figures and features of the payloads, read back whole from the shards."""
     more = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     names = [x.split()[0] for x in more.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, last, got = RangeReader(), None, None
+        reader = RangeReader()
         for b in batches:
             found = []
-            for shard, offset, length in zip(*(b.column(c).to_pylist() for c in ("shard", "offset", "length"))):
-                if (shard, offset) != last:
-                    png = reader.read(shard, offset, length)
-                    payload = from_png(png)
-                    last = (shard, offset)
-                    got = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(png), hashlib.sha256(png).hexdigest(), brightness_print(payload))
-                found.append(got)
+            for place in zip(*(b.column(c).to_pylist() for c in ("shard", "offset", "length"))):
+                png = reader.read(*place)
+                payload = from_png(png)
+                found.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(png), hashlib.sha256(png).hexdigest(), brightness_print(payload)))
             cols = list(zip(*found)) or [()] * 6
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, k) for c, k in zip(cols, kinds))], [*b.schema.names, *names])
 
-    kind = index.schema["id"].dataType.simpleString()
-    return index.mapInArrow(run, f"id {kind}, {_INDEX}, width int, height int, bits int, {more}")
+    return index.mapInArrow(run, f"{_PLACE}, width int, height int, bits int, {more}")
 
 
 def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
     """Store the texts and return a row each with place, header columns and features."""
     index = store_texts(docs, folder or new_path(docs.sparkSession, "media"), id_col, text_col)
-    return with_features(with_headers(by_range(index))).withColumnRenamed("id", id_col)
+    # written, so that AQE can split the join on a payload that a third of all rows have
+    found = staged(with_features(with_headers(by_range(places(index)))), "media-features")
+    return index.select(F.col("id").alias(id_col), "n_bytes", "digest").join(found, "digest").select(id_col, "n_bytes", *found.columns)
