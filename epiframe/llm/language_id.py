@@ -8,11 +8,11 @@ and the byte alone: each order's contexts and followers are compiled to hash tab
 languages at once, and a batch of texts is scored by look-ups from the longest context down. The language
 of the shortest total code wins; its score is the posterior at one nat per ``TEMPER`` nats of code length.
 
-Training takes the ``max_train_docs`` lowest documents of a language by a hash of their id, whole texts
-(a documented bound); the tables are broadcast and grow with that bound alone.
+Training takes the ``max_train_docs`` lowest documents of a language by a hash of their id, whole texts, up to ``max_train_bytes``
+a language (documented bounds); the tables are broadcast and grow with these bounds and the number of languages, and more than ``max_langs`` are refused.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0; training rows with a null
-language or text are ignored; with no language to learn every text is ``und``; ties go to the first
+language or text are ignored; of several texts of one id the smallest is learned from; with no language to learn every text is ``und``; ties go to the first
 language by code point; repeated rows are repeated; an empty table gives an empty result; other columns
 are ignored.
 """
@@ -176,15 +176,18 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_train_docs: int = 150, order: int = ORDER) -> Model | None:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_train_docs: int = 150, max_train_bytes: int = 8 << 20, max_langs: int = 64, order: int = ORDER) -> Model | None:
     """Learn from ``docs``, which should hold training rows only; None if there is no language."""
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("g"), F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"))
-    rank = F.row_number().over(Window.partitionBy("g").orderBy("h", "i"))
-    chosen = rows.withColumn("k", rank).where(F.col("k") <= max_train_docs).select("i", "g").distinct()
-    picked = docs.select(F.col(id_col).alias("i"), F.col(lang_col).alias("g"), F.col(text_col).alias("t")).join(F.broadcast(chosen), ["i", "g"])
+    usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("g"), F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    first = Window.partitionBy("g").orderBy("h", "i")
+    chosen = usable.select("g", "h", "i").withColumn("k", F.row_number().over(first)).where(F.col("k") <= max_train_docs).select("i", "g").distinct()
+    picked = usable.join(F.broadcast(chosen), ["i", "g"]).groupBy("g", "h", "i").agg(F.min("t").alias("t"))
+    picked = picked.withColumn("sum", F.sum(F.octet_length("t")).over(first)).where(F.col("sum") <= max_train_bytes)
     texts: dict[str, list[str]] = {}
-    for r in sorted(picked.dropDuplicates(["i", "g"]).select("g", "i", "t").collect(), key=lambda r: (r.g, r.i)):  # languages times the bound
+    for r in sorted(picked.select("g", "i", "t").collect(), key=lambda r: (r.g, r.i)):  # languages times the bounds
         texts.setdefault(r.g, []).append(r.t)
+    if len(texts) > max_langs:
+        raise ValueError(f"{len(texts)} languages; tables are sent to all workers for up to {max_langs}")
     return Model(texts, order) if texts else None
 
 
