@@ -120,7 +120,7 @@ def contamination(
 
     ``hits`` are disjoint, ordered spans ``start, end`` in words, end exclusive.
     """
-    items = bench.select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
+    items = bench.select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text")).distinct()
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / 6 / block_words))
     items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
@@ -153,7 +153,13 @@ def contamination(
 
 
 def clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark window."""
+    """``docs`` without the rows that hold a benchmark window.
+
+    Rows with null ids or texts, repeated rows and columns of any name stay as they are; of rows that share an id, only those whose own text has a
+    window go.
+    """
     found = contamination(docs, bench, id_col, text_col, **options).where(F.size("hits") > 0)
-    found = found.select(F.col(id_col).alias("_hit_id"), F.col("text_hash").alias("_hit_hash")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(F.col("_hit_id")) & (text_key(docs[text_col]) == F.col("_hit_hash")), "left_anti")
+    found = found.select(F.col(id_col).alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("hash"))
+    kept = rows.join(found, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("hash") == F.col("hit_hash")), "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import staged
+from epiframe.llm.common import free_name, staged
 
 WEIGHTS = (3.0, 1.0, 2.0)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -140,11 +140,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it is taken, numbered by the column ``copy`` from 1."""
+    """The mix itself: each row of ``docs`` as often as it is taken, numbered from 1 by a last column ``copy``.
+
+    If ``docs`` has a column of this name, the number's has underscores before it. Rows of equal id, source and size are told apart by their texts; equal
+    ones are taken as often as all of them together are. An empty table gives an empty mix.
+    """
     taken = mix(docs, id_col, text_col, source_col, **options).where("copies > 0").select(F.col(id_col).alias("_i"), F.col(source_col).alias("_s"), F.col("size").alias("_n"), F.col("row").alias("_r"), "copies")
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), F.xxhash64(F.col(text_col)).alias("h"))
     rank = F.row_number().over(Window.partitionBy("id", "source", "size").orderBy("h"))
     packed = packed.withColumn("row", rank)
     same = F.col("id").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_n")) & (F.col("row") == F.col("_r"))
-    return packed.join(taken, same).select("_row.*", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    return packed.join(taken, same).select(*[F.col("_row").getField(c).alias(c) for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias(free_name(docs, "copy")))

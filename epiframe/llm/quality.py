@@ -9,7 +9,7 @@ weights are averaged. Scoring is a sparse dot product per text against the broad
 
 Defined results: a null or empty text scores the bias alone; labels that contradict each other count as
 their mean, 0.5 as good; labels without a document and null labels are ignored; with no label to learn
-from every score is 0.5; repeated rows are repeated; an empty table gives an empty result; other columns
+from every score is 0.5; of several texts of one id the one with the smallest list of n-grams is learned from; repeated rows are repeated; an empty table gives an empty result; other columns
 are ignored.
 """
 
@@ -110,7 +110,8 @@ def train(
         w = ftrl([(np.asarray(i, dtype=np.int64), float(y >= 0.5)) for i, y in zip(pdf.idx, pdf.y)], epochs, alpha, beta, l1, l2)
         return pd.DataFrame({"n": [len(pdf)], "w": [w.astype("<f8").tobytes()]})
 
-    dealt = rows.dropDuplicates(["_id"]).withColumn("h", F.xxhash64("_id", F.lit(1)))
+    one = rows.groupBy("_id").agg(F.min(F.struct("y", "idx")).alias("r")).select("_id", "r.y", "r.idx")
+    dealt = one.withColumn("h", F.xxhash64("_id", F.lit(1)))
     dealt = dealt.withColumn("learner", F.pmod("h", F.lit(learners)))
     parts = dealt.groupBy("learner").applyInPandas(learn, "n long, w binary").collect()  # `learners` rows
     total = sum(p.n for p in parts)

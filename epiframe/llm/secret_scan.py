@@ -39,8 +39,10 @@ RULES = (
     Rule("access", "AKIA[A-Z0-9]+", 18),
     Rule("hex", "[0-9a-f]+", 16),
 )
-#: Change it with the rules: a ledger is good for one version.
+#: Change it with the rules: what a ledger holds is good for its version.
 RULE_VERSION = "base-1"
+#: Columns of the ledger, which is partitioned by version: a scan reads its own version's part.
+LEDGER = "sha string, findings array<struct<start:int,kind_no:int,end:int,kind:string>>, version string"
 
 
 def _quote(s: str) -> str:
@@ -81,14 +83,14 @@ def scan(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "
     paths = docs.select(F.col(id_col), F.sha2(text, 256).alias("sha"))
     blobs = docs.select(F.sha2(text, 256).alias("sha"), text.alias("text"))
     try:
-        known = spark.read.parquet(ledger).where(F.col("version") == version).select("sha")
+        known = spark.read.schema(LEDGER).parquet(ledger).where(F.col("version") == version).select("sha")
         blobs = blobs.join(known, "sha", "left_anti")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
     unseen = blobs.dropDuplicates(["sha"])
-    find(unseen, rules).select("sha", F.lit(version).alias("version"), "findings").write.mode("append").parquet(ledger)
-    found = spark.read.parquet(ledger).where((F.col("version") == version) & (F.size("findings") > 0)).select("sha", "findings")
+    find(unseen, rules).select("sha", F.lit(version).alias("version"), "findings").write.mode("append").partitionBy("version").parquet(ledger)
+    found = spark.read.schema(LEDGER).parquet(ledger).where((F.col("version") == version) & (F.size("findings") > 0)).select("sha", "findings")
     # two scans at a time may both have entered a blob; written, so that AQE can split the join on a hot blob
     found = staged(found.dropDuplicates(["sha"]), "secret-findings")
     none = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string>>")
