@@ -11,7 +11,7 @@ from epiframe.operators import asof, dataset, episodes
 from epiframe.operators import metrics as M
 from epiframe.plans import frames as plan
 from epiframe.queries_align import HOUR, SLICE, SQL_GRID, STEP, grid, stream
-from epiframe.registry import query
+from epiframe.registry import ORACLES, query
 from epiframe.sources import tables
 
 DAY = 24 * HOUR
@@ -385,7 +385,24 @@ def resample_uniform(spark, sf_dir):
     return _filtered(spark, sf_dir, C.Transform("resample_uniform"))
 
 
-@query(None)
+def _zero_phase() -> str:
+    """Resampled streams, extended oddly by nine rows at both ends, through a section of order 2 forward and then backward."""
+    even = ORACLES["resample_uniform"].replace("round(CASE", "(CASE").replace("END, 6)", "END)").replace("round(value, 6), round(k, 6)", "value, k")
+    step = lambda x, z, z1: f"b * {x} + {z}, 2 * b * {x} - a1 * (b * {x} + {z}) + {z1}, b * {x} - a2 * (b * {x} + {z})"
+    rest = lambda x: f"{x}, (b - a2) * {x} + 2 * b * {x} - a1 * {x}, b * {x} - a2 * {x}"
+    return f"""WITH RECURSIVE rs AS ({even}), d AS (SELECT *, ts - lag(ts) OVER (PARTITION BY scope ORDER BY seq) AS d FROM rs),
+k AS (SELECT scope, count(*) AS n, tan(pi() * 1e-6 / (1e9 / quantile_cont(d, 0.5))) AS w, 1e9 / quantile_cont(d, 0.5) AS fs FROM d GROUP BY scope HAVING count(*) > 9),
+q AS (SELECT scope, n, w * w / (1 + sqrt(2) * w + w * w) AS b, 2 * (w * w - 1) / (1 + sqrt(2) * w + w * w) AS a1, (1 - sqrt(2) * w + w * w) / (1 + sqrt(2) * w + w * w) AS a2 FROM k WHERE fs / 2 > 1e-6),
+i AS (SELECT scope, n, b, a1, a2, unnest(range(-9, n + 9)) AS i FROM q),
+e AS (SELECT i.*, CASE WHEN i < 0 THEN 2 * f.v0 - m.v0 WHEN i >= n THEN 2 * l.v0 - m.v0 ELSE m.v0 END AS x, CASE WHEN i < 0 THEN 2 * f.v1 - m.v1 WHEN i >= n THEN 2 * l.v1 - m.v1 ELSE m.v1 END AS u
+  FROM i JOIN rs m ON m.scope = i.scope AND m.seq = CASE WHEN i < 0 THEN -i WHEN i >= n THEN 2 * (n - 1) - i ELSE i END JOIN rs f ON f.scope = i.scope AND f.seq = 0 JOIN rs l ON l.scope = i.scope AND l.seq = n - 1),
+fw(scope, i, y, z, z1, v, t, t1) AS (SELECT scope, i, {rest("x")}, {rest("u")} FROM e WHERE i = -9 UNION ALL SELECT e.scope, e.i, {step("e.x", "p.z", "p.z1")}, {step("e.u", "p.t", "p.t1")} FROM fw p JOIN e ON e.scope = p.scope AND e.i = p.i + 1),
+g AS (SELECT e.scope, e.i, n, b, a1, a2, y AS x, v AS u FROM e JOIN fw ON fw.scope = e.scope AND fw.i = e.i),
+bw(scope, i, y, z, z1, v, t, t1) AS (SELECT scope, i, {rest("x")}, {rest("u")} FROM g WHERE i = n + 8 UNION ALL SELECT g.scope, g.i, {step("g.x", "p.z", "p.z1")}, {step("g.u", "p.t", "p.t1")} FROM bw p JOIN g ON g.scope = p.scope AND g.i = p.i - 1)
+SELECT rs.scope, rs.ts, rs.seq, round(y, 6) AS v0, round(v, 6) AS v1 FROM bw JOIN rs ON rs.scope = bw.scope AND rs.seq = bw.i"""
+
+
+@query(_zero_phase())
 def lowpass(spark, sf_dir):
     """Zero-phase low-pass of resampled streams."""
     return _filtered(spark, sf_dir, C.Transform("resample_uniform"), C.Transform("butterworth_lowpass", params={"cutoff_hz": 1e-6}))
