@@ -180,14 +180,14 @@ def source_order(spark, sf_dir):
     return episodes.by_start(e, "user_id", "ts", "event_id").select("event_id", F.col("user_id").alias("scope"), "rank")
 
 
-def _method(sql: str) -> str:
-    return f"WITH p AS (SELECT ['observation.state.a', 'observation.state.b', 'observation.state.c'] AS s, ['action.b', 'action.a'] AS a), x AS (SELECT unnest(s) AS s FROM p), y AS (SELECT unnest(a) AS a FROM p) {sql}"
-
-
-@query(_method("SELECT s AS state, a AS action, 'name' AS method FROM x JOIN y ON substr(s, 19) = substr(a, 8)"))
+@query("""WITH s AS (SELECT DISTINCT p_brand AS n FROM part), a AS (SELECT DISTINCT p_brand AS n FROM part WHERE p_size % 7 = 3 AND p_type LIKE '%E%')
+SELECT 'observation.state.' || s.n AS state, 'action.' || a.n AS action, 'name' AS method FROM s JOIN a USING (n)""")
 def dim_pairing(spark, sf_dir):
-    """State and action dims that belong together by name."""
-    method, pairs = episodes.pair_dims(["observation.state.a", "observation.state.b", "observation.state.c"], ["action.b", "action.a"])
+    """State and action dims that belong together by name; brands are joints."""
+    p = tables.read(spark, sf_dir, "part")
+    named = lambda rows: [r[0] for r in rows.select("p_brand").distinct().orderBy("p_brand").collect()]  # noqa: E731  names of dims
+    state, action = named(p), named(p.where("p_size % 7 = 3 AND p_type LIKE '%E%'"))
+    method, pairs = episodes.pair_dims([f"observation.state.{n}" for n in state], [f"action.{n}" for n in action])
     return spark.createDataFrame([(s, a, method) for s, a in pairs], "state string, action string, method string")
 
 
