@@ -395,4 +395,4 @@ def flag_table(*tables: DataFrame) -> DataFrame:
 
 def cleanup_command(dataset: str, episodes: list[int]) -> str | None:
     """The shell command that removes flagged episodes; None without any."""
-    return f'epiframe drop-episodes {dataset} --episodes "{sorted(set(episodes))}"' if episodes else None
+    return f'python -m epiframe drop-episodes {dataset} --episodes "{sorted(set(episodes))}"' if episodes else None

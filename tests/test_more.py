@@ -12,7 +12,7 @@ from epiframe.functions.decoders import depth_to_gray
 from epiframe.operators import dataset, kernels, layouts, manifests
 from epiframe.operators.episodes import within
 from epiframe.plans import audit as A
-from epiframe.sources import catalog
+from epiframe.sources import catalog, files
 from epiframe.sources.shared import discard, new_path, staged
 
 
@@ -199,3 +199,33 @@ def test_staged_and_discard(spark):
     discard(t)
     again = staged(spark.range(2), "t")
     assert again.count() == 2 and new_path(spark, "t") != new_path(spark, "t")
+
+
+@pytest.mark.parametrize("version", ["v2.1", "v3.0"])
+def test_drop_episodes(spark, tmp_path, version, capsys):
+    from epiframe import __main__
+    from epiframe.operators import metrics
+
+    rows = [(e, f, 10 * e + f, float(e)) for e in range(5) for f in range(e + 1)]
+    frames = spark.createDataFrame(rows, "episode_index long, frame_index long, index long, x double")
+    root = f"file://{tmp_path}/d"
+    {"v2.1": dataset.write_by_episode, "v3.0": dataset.write_packed}[version](frames, root, 10.0)
+    said = metrics.cleanup_command(root, [3, 1, 3])
+    assert said == f'python -m epiframe drop-episodes {root} --episodes "[1, 3]"' and metrics.cleanup_command(root, []) is None
+    __main__.main(["drop-episodes", root, "--episodes", "[1, 3]"])
+    assert "3 episodes" in capsys.readouterr().out
+    back, info = dataset.read_dataset(spark, root + "-kept")
+    got = sorted((r.episode_index, r.frame_index, r["index"], r.x) for r in back.collect())
+    assert info["codebase_version"] == version and [g[2] for g in got] == list(range(9)) and [g[3] for g in got] == [0.0, *[2.0] * 3, *[4.0] * 5]
+    with pytest.raises(ValueError, match="no episode is left"):
+        dataset.drop_episodes(spark, root, f"file://{tmp_path}/none", list(range(5)))
+
+
+def test_picture_files(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    for name, data in (("cam_100.jpg", b"a"), ("cam_200.jpeg", b"b"), ("300.PNG", b"c"), ("400.png", b""), ("500.txt", b"d"), ("noname.png", b"e")):
+        (tmp_path / "p" / name).write_bytes(data)
+    found = sorted((r.ts, r.format, bytes(r.data)) for r in files.picture_files(spark, f"file://{tmp_path}/p").collect())
+    assert found == [(100, "jpeg", b"a"), (200, "jpeg", b"b"), (300, "png", b"c")]
+    refs = spark.createDataFrame([("e1", "/b"), ("e1", "/a"), ("e2", "/a"), ("e1", "/a")], "association string, path string")
+    assert {r.association: r.paths for r in files.by_association(refs).collect()} == {"e1": ["/a", "/b"], "e2": ["/a"]}
