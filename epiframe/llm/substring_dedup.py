@@ -5,12 +5,19 @@ shingles of ``k`` words, so any ``k + window - 1`` equal words share a seed. A s
 smallest document; every other occurrence is joined to the hub's, which makes a number of anchors linear in the
 occurrences, where joining all pairs would make their square. Anchors of a document and a hub are chained
 by their positions with linear gap costs through a tree of the anchors at most ``max_gap`` words back, and the words between anchors are aligned: equal ones at once, others by edit distance, with the
-ends stretched while they agree. Passages of ``min_words`` or more with an identity of ``similarity`` or more are
-returned, once per document and hub.
+ends stretched while they agree, however far; a chain that is too unlike as a whole is parted at its worst gaps. Passages of ``min_words`` or more with an identity of ``similarity`` or more are
+found, once per document and hub.
+
+Seeds of one passage may have hubs of their own, none of which holds the passage. So where a document's seeds are common ones over
+``min_words`` words and no passage found covers them, long seeds of ``min_words - window + 1`` words are taken at the same places and joined to
+their hub (the hub itself to the largest document): any ``min_words`` equal words hold a long seed. Where three documents or more hold a
+long seed in different surroundings and some are still not covered, all ``min_words`` words around it are joined in the same way: their hub holds all of them, so no
+``min_words`` equal words are lost. These anchors are chained and aligned like the first ones, and a passage is returned where it reaches beyond those of
+the steps before.
 
 The first of a passage's documents is found as the hub of the others; a passage that its document repeats
-within itself alone is no match. Seeds are aggregated before their shuffle, and joins on a common seed or hub
-are ones that AQE splits.
+within itself alone is no match. Joins on a common seed or hub are ones that AQE splits, and a hub's text is cut for a bounded number of
+chains at a time.
 
 Defined results: null or empty texts and rows with a null id have no passages; repeated rows of one id are
 one document (its texts' seeds are pooled, the first text by order is aligned); equal texts are passages like others; an empty table gives an
@@ -21,34 +28,41 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from epiframe.llm.common import staged
+from epiframe.llm.common import discard, staged
 from epiframe.llm.decontaminate import words_of
 
-#: Words that are fetched beyond a chain's ends, to stretch them.
+#: Words that are fetched beyond a chain's ends at first, to stretch them; where they all agree, more are.
 MARGIN = 40
+#: Chains of one text that are cut together.
+CUTS = 400
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def minimizers(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (signed) and word positions of the seeds.
+def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, zip(*(words[i:] for i in range(k))))), dtype=np.uint64, count=max(0, len(words) - k + 1))
+
 
-    Where one hash is the minimum over and over, as in a repeated word or line, it is a seed once a window. A hash that
-    occurs again in the text is also a seed under its ordinal, so that the second repeat meets another
-    text's second repeat, and repetitive passages chain like others.
+def minimizers(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (signed), word positions, numbers and ends of the seeds.
+
+    Where one hash is the minimum over and over, as in a repeated word or line, it is a seed once a window; its end is the last
+    position that it stands for. A hash that occurs again in the text is also a seed under its ordinal (and without a number: -1), so that the
+    second repeat meets another text's second repeat, and repetitive passages chain like others.
     """
-    n = len(words) - k + 1
+    h = shingle_hashes(words, k)
+    n = len(h)
     if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    h = np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, zip(*(words[i:] for i in range(k))))), dtype=np.uint64, count=n)
+        return np.zeros(0, np.int64), *[np.zeros(0, np.int32)] * 3
     if n <= window:
         at = np.array([h.argmin()])
     else:
@@ -57,7 +71,8 @@ def minimizers(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.
     new_run = np.append(True, h[1:] != h[:-1])
     run_start = at[np.flatnonzero(new_run)][np.cumsum(new_run) - 1]
     step = (at - run_start) // window
-    keep = new_run | np.append(True, step[1:] != step[:-1])
+    keep = np.flatnonzero(new_run | np.append(True, step[1:] != step[:-1]))
+    end = at[np.append(keep[1:], len(at)) - 1]
     h, at = h[keep], at[keep]
     order = np.argsort(h, kind="stable")
     ranked = h[order]
@@ -66,7 +81,47 @@ def minimizers(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.
     ordinal[order] = np.arange(len(h)) - np.flatnonzero(first)[np.cumsum(first) - 1]
     again = ordinal > 0
     h = np.concatenate([h, (h[again] ^ (ordinal[again] * _GOLD)) * _GOLD])
-    return h.view(np.int64), np.concatenate([at, at[again]]).astype(np.int32)
+    number = np.append(np.arange(len(at)), np.full(again.sum(), -1))
+    return h.view(np.int64), *(v.astype(np.int32) for v in (np.append(at, at[again]), number, np.append(end, end[again])))
+
+
+class Windows:
+    """Hashes of windows of a text, for positions from ``lo`` to ``hi``."""
+
+    def __init__(self, words: list[bytes], lo: int, hi: int, k: int):
+        self.lo, self.k = max(0, lo), k
+        self.parts = shingle_hashes(words[self.lo : max(0, hi)], k)
+
+    def __call__(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Signed hashes of ``length`` words from each position of ``at`` on; the text must have them."""
+        h = np.zeros(len(at), np.uint64)
+        if len(at):
+            for offset in sorted({*range(0, length - self.k + 1, self.k), length - self.k}):
+                h = (h ^ self.parts[at - self.lo + offset]) * _GOLD
+                h ^= h >> np.uint64(31)
+        return h.view(np.int64)
+
+
+def long_seeds(words: list[bytes], at: list[int], doc: int, k: int, length: int, around: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the seeds at those of the positions ``at`` that have ``length`` words, the positions, and hashes of their surroundings.
+
+    Surroundings are ``around`` words more on either side; those of a seed too near to an end are like no other document's.
+    """
+    at = np.array([p for p in at if p + length <= len(words)], np.int64)
+    wide = np.full(len(at), doc, np.int64)
+    if len(at):
+        hashes = Windows(words, at.min() - around, at.max() + length + around, k)
+        inside = (at >= around) & (at + length + around <= len(words))
+        wide[inside] = hashes(at[inside] - around, length + 2 * around)
+        return hashes(at, length), at.astype(np.int32), wide
+    return wide, at.astype(np.int32), wide
+
+
+def windows_near(words: list[bytes], at: list[int], k: int, length: int, before: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and positions of all windows of ``length`` words that begin at one of ``at`` or up to ``before`` words earlier."""
+    at = np.unique(np.array(at, np.int64)[:, None] - np.arange(before + 1))
+    at = at[(at >= 0) & (at + length <= len(words))]
+    return (Windows(words, at.min(), at.max() + length, k)(at, length) if len(at) else at), at.astype(np.int32)
 
 
 class Recent:
@@ -162,8 +217,11 @@ def edits(a: list[bytes], b: list[bytes]) -> int:
     return row[-1]
 
 
-def stretch(a: list[bytes], b: list[bytes], drop: int = 6) -> tuple[int, int]:
-    """How many words two lists agree from their start, and mismatches in them: +1 an equal word, -3 another, until the score falls by ``drop``."""
+def stretch(a: list[bytes], b: list[bytes], drop: int = 6) -> tuple[int, int, bool]:
+    """How many words two lists agree from their start, mismatches in them, and whether the shorter list ended it.
+
+    +1 an equal word, -3 another, until the score falls by ``drop``.
+    """
     score = best = length = wrong = missed = 0
     for i, (x, y) in enumerate(zip(a, b), 1):
         if x == y:
@@ -174,43 +232,56 @@ def stretch(a: list[bytes], b: list[bytes], drop: int = 6) -> tuple[int, int]:
         if score > best:
             best, length, wrong = score, i, missed
         if score < best - drop:
-            break
-    return length, wrong
+            return length, wrong, False
+    return length, wrong, True
+
+
+def _rows(b: pa.RecordBatch, found: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBatch:
+    """One row an element of the arrays of each text, with the text's id (the batch's first column) after the hashes."""
+    ids = b.column(0).take(pa.array(np.repeat(np.arange(len(b)), [len(f[0]) for f in found])))
+    h, *rest = (pa.array(np.concatenate(c)) for c in zip(*found))
+    return pa.RecordBatch.from_arrays([h, ids, *rest], names)
 
 
-def seeds(docs: DataFrame, id_col: str, text_col: str, k: int, window: int) -> DataFrame:
+def seeds(texts: DataFrame, k: int, window: int) -> DataFrame:
+    """``h, doc, pos, number, last`` of the minimizers of ``doc, text``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, len(whole), 1000):
                 b = whole.slice(at, 1000)
-                found = [minimizers(words_of(t.as_py()), k, window) for t in b.column(1)]
-                rows = np.repeat(np.arange(len(b)), [len(h) for h, _ in found])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([h for h, _ in found])), b.column(0).take(pa.array(rows)), pa.array(np.concatenate([p for _, p in found]))], ["h", "doc", "pos"])
-
-    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), text_col).mapInArrow(run, "h long, doc long, pos int")
+                yield _rows(b, [minimizers(words_of(t.as_py()), k, window) for t in b.column(1)], ["h", "doc", "pos", "number", "last"])
 
+    return texts.mapInArrow(run, "h long, doc long, pos int, number int, last int")
 
-def repeated_passages(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    k: int = 5,
-    window: int = 16,
-    min_words: int = 50,
-    similarity: float = 0.8,
-    max_gap: int = 64,
-    min_anchors: int = 2,
-) -> DataFrame:
-    """``id_col, start, end, other_id, other_start, other_end, n_words, identity``: spans in words, end exclusive.
 
-    ``id_col`` must be of an integer type.
-    """
-    all_seeds = seeds(docs, id_col, text_col, k, window)
+def in_several(found: DataFrame) -> DataFrame:
+    """Occurrences of hashes that are in several documents, with the smallest and the largest as ``hub`` and ``far``."""
     # written tables: AQE splits a hot key of a join only where no aggregate stands between join and shuffle
-    common = staged(all_seeds.groupBy("h").agg(F.min("doc").alias("hub"), F.max("doc").alias("last")).where("hub < last").select("h", "hub"), "passage-common")
-    shared = staged(all_seeds.join(common, "h"), "passage-seeds")
-    hubs = staged(shared.where("doc = hub").groupBy("h").agg(F.min("pos").alias("hub_pos")), "passage-hubs")
-    anchors = shared.where("doc <> hub").join(hubs, "h").select("doc", "hub", "pos", "hub_pos")
+    found = staged(found, "passage-found")
+    common = staged(found.groupBy("h").agg(F.min("doc").alias("hub"), F.max("doc").alias("far")).where("hub < far"), "passage-common")
+    shared = staged(found.join(common, "h"), "passage-shared")
+    discard(found, common)
+    return shared
+
+
+def hub_anchors(occurrences: DataFrame, shared: DataFrame) -> DataFrame:
+    """``doc, other, pos, other_pos``: occurrences of several documents against those of their hub, the hub's own against the largest document's."""
+    at = [F.min(F.when(F.col("doc") == F.col(w), F.col("pos"))).alias(f"{w}_pos") for w in ("hub", "far")]
+    places = staged(shared.where("doc = hub OR doc = far").groupBy("h").agg(*at), "passage-hubs")
+    own = F.col("doc") == F.col("hub")
+    other, other_pos = F.when(own, F.col("far")).otherwise(F.col("hub")), F.when(own, F.col("far_pos")).otherwise(F.col("hub_pos"))
+    return occurrences.join(places, "h").select("doc", other.alias("other"), "pos", other_pos.alias("other_pos"))
+
+
+def longest_spans(rows: DataFrame, *more: str) -> DataFrame:
+    """``doc, start, end, more``: the longest passage from each word on, of either side: no more of them than the document has words."""
+    sides = rows.select("doc", "start", "end", *more).union(rows.select("other", "other_start", "other_end", *more))
+    return sides.groupBy("doc", "start", *more).agg(F.max("end").alias("end"))
+
+
+def chained(anchors: DataFrame, k: int, max_gap: int, min_anchors: int) -> DataFrame:
+    """``chain, doc, other, xs, ys`` of anchors ``doc, other, pos, other_pos``."""
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by document and hub; the last pair of a batch waits for the next one."""
@@ -218,88 +289,207 @@ def repeated_passages(
 
         def chains(pdf: pd.DataFrame) -> pd.DataFrame:
             out = []
-            for (doc, hub), g in pdf.groupby(["doc", "hub"], sort=False):
+            for (doc, other), g in pdf.drop_duplicates().groupby(["doc", "other"], sort=False):
                 if len(g) < min_anchors:
                     continue
-                x, y = g.pos.tolist(), g.hub_pos.tolist()
+                x, y = g.pos.tolist(), g.other_pos.tolist()
                 for c in chain(x, y, k, max_gap=max_gap, min_anchors=min_anchors):
-                    out.append((doc, hub, [x[m] for m in c], [y[m] for m in c]))
-            return pd.DataFrame(out, columns=["doc", "hub", "xs", "ys"])
+                    out.append((doc, other, [x[m] for m in c], [y[m] for m in c]))
+            return pd.DataFrame(out, columns=["doc", "other", "xs", "ys"])
 
         for b in batches:
             if not len(b):
                 continue
             pdf = pd.concat([*held, b]) if held else b
-            tail = (pdf.doc.to_numpy() == pdf.doc.iloc[-1]) & (pdf.hub.to_numpy() == pdf.hub.iloc[-1])
+            tail = (pdf.doc.to_numpy() == pdf.doc.iloc[-1]) & (pdf.other.to_numpy() == pdf.other.iloc[-1])
             held = [pdf[tail]]
             yield chains(pdf[~tail])
         if held:
             yield chains(held[0])
 
-    linked = anchors.repartition("doc").sortWithinPartitions("doc", "hub", "pos", "hub_pos").mapInPandas(link, "doc long, hub long, xs array<int>, ys array<int>")
-    # a chain that even stretched is too short goes at once
-    linked = linked.where(F.element_at("xs", -1) - F.element_at("xs", 1) + k + 2 * MARGIN >= min_words)
-    linked = staged(linked.withColumn("chain", F.monotonically_increasing_id()), "passage-chains")
+    linked = anchors.repartition("doc").sortWithinPartitions("doc", "other", "pos", "other_pos").mapInPandas(link, "doc long, other long, xs array<int>, ys array<int>")
+    return staged(linked.withColumn("chain", F.monotonically_increasing_id()), "passage-chains")
+
 
-    none = F.lit(None).cast("array<int>")
-    sides = F.array(
-        F.struct(F.col("doc").alias("owner"), F.lit(0).alias("side"), F.element_at("xs", 1).alias("lo"), (F.element_at("xs", -1) + k).alias("hi"), F.col("xs"), F.col("ys"), F.col("hub").alias("other")),
-        F.struct(F.col("hub").alias("owner"), F.lit(1).alias("side"), F.element_at("ys", 1).alias("lo"), (F.element_at("ys", -1) + k).alias("hi"), none.alias("xs"), none.alias("ys"), F.lit(None).cast("long").alias("other")),
-    )
-    wanted = linked.select("chain", F.explode(sides).alias("s")).select("chain", "s.*")
-    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("owner"), F.col(text_col).alias("text"))
+def repeated_passages(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = 5,
+    window: int = 16,
+    min_words: int = 50,
+    similarity: float = 0.8,
+    max_gap: int = 64,
+    min_anchors: int = 2,
+) -> DataFrame:
+    """``id_col, start, end, other_id, other_start, other_end, n_words, identity``: spans in words, end exclusive."""
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    kind, names = docs.schema[id_col].dataType, None
+    if not isinstance(kind, IntegralType):  # then they are numbered in their order
+        names = staged(texts.select(F.col("doc").alias("name")).distinct().orderBy("name").withColumn("doc", F.monotonically_increasing_id()), "passage-ids")
+        texts = texts.withColumnRenamed("doc", "name").join(names, "name").select("doc", "text")
+    texts = texts.withColumn("doc", F.col("doc").cast("long"))
+
+    def found_by(anchors: DataFrame) -> DataFrame:
+        chains = chained(anchors, k, max_gap, min_anchors)
+        rows = passages_of(chains, texts, k, min_words, similarity)
+        discard(chains)
+        return rows
+
+    shared = in_several(seeds(texts, k, window))
+    first = found_by(hub_anchors(shared.where("doc <> hub"), shared))
+
+    # runs of common seeds: min_words equal words are inside one, and their first seed is at least `inner` words before its end
+    inner, length = max(0, min_words - k - 2 * window + 2), max(k, min_words - window + 1)
+    numbered = shared.where("number >= 0").withColumn("run", F.col("number") - F.row_number().over(Window.partitionBy("doc").orderBy("number", "pos")))
+    runs = numbered.groupBy("doc", "run").agg(F.max("last").alias("last"), F.collect_list("pos").alias("at"))
+    runs = runs.select("doc", F.filter("at", lambda p: p <= F.col("last") - inner).alias("at")).where(F.size("at") > 0)
+    places = runs.groupBy("doc").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("at"))  # no longer than the document
+
+    def at_places(places: DataFrame, hashes: Callable[[list[bytes], list[int], int], tuple[np.ndarray, ...]], names: list[str], kinds: str) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for start in range(0, len(whole), 1000):
+                    b = whole.slice(start, 1000)
+                    yield _rows(b, [hashes(words_of(t.as_py()), at, doc) for doc, t, at in zip(*(b.column(c) if c == 1 else b.column(c).to_pylist() for c in range(3)))], names)
+
+        return texts.join(staged(places, "passage-runs"), "doc").select("doc", "text", "at").mapInArrow(run, kinds)
+
+    def uncovered(occurrences: DataFrame, rows: DataFrame, before: int, after: int) -> DataFrame:
+        """Those whose words, with so many more on either side, are in no passage found."""
+        spans = staged(longest_spans(rows).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "passage-spans")
+        held = F.exists("spans", lambda s: (s["start"] <= F.greatest(F.col("pos") - before, F.lit(0))) & (s["end"] >= F.col("pos") + after))
+        return staged(occurrences.join(spans, "doc", "left").where(~F.coalesce(held, F.lit(False))).drop("spans"), "passage-open")
+
+    def along(anchors: DataFrame, length: int) -> DataFrame:
+        """Anchors of k words within those of ``length``, at every 3k-th word of the document, and so near enough to each other to chain."""
+        step = 3 * k
+        by = F.explode(F.sequence(F.pmod(-F.col("pos"), F.lit(step)), F.lit(length - k), F.lit(step))).alias("by")
+        return anchors.select("*", by).select("doc", "other", (F.col("pos") + F.col("by")).alias("pos"), (F.col("other_pos") + F.col("by")).alias("other_pos")).distinct()
+
+    # a long seed counts unless all min_words around it are covered
+    around = min_words - length
+    long_shared = in_several(at_places(places, lambda words, at, doc: long_seeds(words, at, doc, k, length, around), ["h", "doc", "pos", "wide"], "h long, doc long, pos int, wide long"))
+    second = found_by(along(hub_anchors(uncovered(long_shared, first, around, min_words), long_shared), length))
+    so_far = first.union(second)
+    # a hub answers for all if the surroundings are the same, or if there are two documents
+    between = (F.col("doc") != F.col("hub")) & (F.col("doc") != F.col("far"))
+    mixed = long_shared.groupBy("h").agg(F.max(between).alias("more"), F.min("wide").alias("w"), F.max("wide").alias("v")).where("more AND w < v").select("h")
+    mixed = staged(mixed.join(uncovered(long_shared, so_far, around, min_words).select("h").distinct(), "h"), "passage-mixed")
+    near = long_shared.join(mixed, "h").groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("at"))
+    exact_shared = in_several(at_places(near, lambda words, at, doc: windows_near(words, at, k, min_words, around), ["h", "doc", "pos"], "h long, doc long, pos int"))
+    third = found_by(along(hub_anchors(uncovered(exact_shared, so_far, 0, min_words), exact_shared), min_words))
+    discard(shared, long_shared, exact_shared)
+
+    # chains that end up as one passage are one; a passage of a later step counts where none of an earlier one holds it
+    found = first.withColumn("step", F.lit(0)).union(second.withColumn("step", F.lit(1))).union(third.withColumn("step", F.lit(2)))
+    found = found.groupBy("doc", "other", "start", "end", "other_start", "other_end").agg(F.min("step").alias("step"), F.max("identity").alias("identity"))
+    found = staged(found, "passage-found")
+    marks = longest_spans(found, "step").select("doc", "start", "end", "step", F.lit(None).cast("long").alias("other"))
+    every = marks.unionByName(found, allowMissingColumns=True)
+    before = Window.partitionBy("doc").orderBy("start", F.col("other").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    mark = lambda k: F.max(F.when(F.col("other").isNull() & (F.col("step") < k), F.col("end"))).over(before)
+    every = every.select("*", mark(1).alias("m1"), mark(2).alias("m2")).where("other IS NOT NULL")
+    found = every.where("step = 0 OR coalesce(CASE step WHEN 1 THEN m1 ELSE m2 END < end, true)")
+    if names is not None:
+        found = found.join(names, "doc").drop("doc").withColumnRenamed("name", "doc")
+        found = found.join(names.select(F.col("doc").alias("other"), "name"), "other").drop("other").withColumnRenamed("name", "other")
+    ids = [F.col(c).cast("long" if names is None else kind) for c in ("doc", "other")]
+    return found.select(ids[0].alias(id_col), "start", "end", ids[1].alias("other_id"), "other_start", "other_end", (F.col("end") - F.col("start")).alias("n_words"), "identity")
+
+
+def passages_of(chains: DataFrame, texts: DataFrame, k: int, min_words: int, similarity: float) -> DataFrame:
+    """``doc, other, start, end, other_start, other_end, identity`` of chains; more words are fetched where ends agree beyond the margin."""
+    found, todo, margin = None, chains, MARGIN
+    while True:
+        done = staged(aligned(todo, texts, k, margin, min_words, similarity), "passage-aligned")
+        rows = done.where("NOT open").select("doc", "other", "start", "end", "other_start", "other_end", "identity")
+        found = rows if found is None else found.union(rows)
+        more = done.where("open").select("chain")
+        if more.isEmpty():
+            return staged(found, "passage-rows")
+        todo, margin = chains.join(more, "chain", "left_semi"), 16 * margin
+
+
+def aligned(chains: DataFrame, texts: DataFrame, k: int, margin: int, min_words: int, similarity: float) -> DataFrame:
+    """Passages of chains ``chain, doc, other, xs, ys``; ``open`` rows are chains whose ends agree over more than ``margin`` words."""
+    side = lambda owner, n, at: F.struct(F.col(owner).alias("owner"), F.struct("chain", F.lit(n).alias("side"), F.element_at(at, 1).alias("lo"), (F.element_at(at, -1) + k).alias("hi")).alias("cut"))
+    wanted = chains.select(F.explode(F.array(side("doc", 0, "xs"), side("other", 1, "ys"))).alias("s")).select("s.*")
+    # a text goes to Python once for CUTS chains or so, however many it has
+    parts = staged(wanted.groupBy("owner").agg(F.ceil(F.count("*") / CUTS).alias("parts")), "passage-parts")
+    wanted = wanted.join(parts, "owner").groupBy("owner", F.pmod(F.xxhash64("cut.chain"), F.col("parts")).alias("part")).agg(F.collect_list("cut").alias("cuts"))
+    wanted = staged(wanted.select("owner", "cuts"), "passage-cuts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, words = None, []
+        names = ["chain", "side", "first", "n", "words"]
         for b in batches:
-            out = []
-            for t, lo, hi in zip(b.column("text"), b.column("lo").to_pylist(), b.column("hi").to_pylist()):
-                if (text := t.as_py()) != last:
-                    last, words = text, words_of(text)
-                out.append(b" ".join(words[max(0, lo - MARGIN) : hi + MARGIN]))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in cut_names[:-1]), pa.array(out, pa.binary())], cut_names)
-
-    cut_names = ["chain", "side", "owner", "other", "lo", "xs", "ys", "words"]
-    slices = wanted.join(texts, "owner").mapInArrow(cut, "chain long, side int, owner long, other long, lo int, xs array<int>, ys array<int>, words binary")
+            for t, cuts in zip(b.column(0), b.column(1).to_pylist()):
+                words = words_of(t.as_py())
+                out = [(c["chain"], c["side"], max(0, c["lo"] - margin), len(words), b" ".join(words[max(0, c["lo"] - margin) : c["hi"] + margin])) for c in cuts]
+                yield pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(zip(*out), [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()])], names)
+
+    slices = wanted.join(texts.withColumnRenamed("doc", "owner"), "owner").select("text", "cuts").mapInArrow(cut, "chain long, side int, first int, n int, words binary")
+    # a chain, its document's slice, its hub's
+    none = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    empty = [none("first", "int"), none("n", "int"), none("words", "binary")]
+    rows = chains.select("chain", F.lit(-1).alias("side"), *empty, "doc", "other", "xs", "ys")
+    rows = rows.union(slices.select("chain", "side", "first", "n", "words", none("doc", "long"), none("other", "long"), none("xs", "array<int>"), none("ys", "array<int>")))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by chain and side: a document's slice, then its hub's."""
-        first = None
+        who = mine = None
+        names = ["chain", "doc", "other", "start", "end", "other_start", "other_end", "identity", "open"]
+        kinds = [*[pa.int64()] * 7, pa.float64(), pa.bool_()]
         for b in batches:
             out = []
             for r in b.to_pylist():
-                if r["side"] == 0:
-                    if first is None or first["chain"] != r["chain"]:
-                        first = r
-                elif first is not None and first["chain"] == r["chain"]:
-                    if found := passage(first, r, k):
-                        start, end, o_start, o_end, wrong = found
-                        n = max(end - start, o_end - o_start)
-                        if min(end - start, o_end - o_start) >= min_words and 1 - wrong / n >= similarity:
-                            out.append((first["owner"], start, end, r["owner"], o_start, o_end, end - start, 1 - wrong / n))
-                    first = None
-            cols = list(zip(*out)) or [()] * 8
-            kinds = [*[pa.int64()] * 7, pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], [id_col, "start", "end", "other_id", "other_start", "other_end", "n_words", "identity"])
-
-    paired = slices.repartition("chain").sortWithinPartitions("chain", "side")
-    return paired.mapInArrow(align, f"`{id_col}` long, start long, end long, other_id long, other_start long, other_end long, n_words long, identity double")
-
-
-def passage(mine: dict, hub: dict, k: int) -> tuple[int, int, int, int, int] | None:
-    """Spans in both documents and the number of edits between them; None if the slices belie the anchors."""
-    a, b = mine["words"].split(), hub["words"].split()
-    ax, by = max(0, mine["lo"] - MARGIN), max(0, hub["lo"] - MARGIN)
-    xs, ys = mine["xs"], mine["ys"]
-    wrong, at = 0, None
-    for x, y in zip(xs, ys):
+                if r["side"] < 0:
+                    who, mine = r, None
+                elif r["side"] == 0:
+                    mine = mine or r  # of several texts of one id the first
+                elif mine:
+                    got = passages(who["xs"], who["ys"], mine, r, k, min_words, similarity)
+                    if got is None:
+                        out.append((r["chain"], *[None] * 7, True))
+                    else:
+                        out += [(r["chain"], who["doc"], who["other"], *g, False) for g in got]
+                    mine = None
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(list(zip(*out)) or [()] * len(names), kinds)], names)
+
+    paired = rows.repartition("chain").sortWithinPartitions("chain", "side", "words")
+    return paired.mapInArrow(align, "chain long, doc long, other long, start long, end long, other_start long, other_end long, identity double, open boolean")
+
+
+def passages(xs: list[int], ys: list[int], mine: dict, hub: dict, k: int, min_words: int, similarity: float) -> list[tuple[int, int, int, int, float]] | None:
+    """Spans in both documents and identities of a chain's passages; none if the slices belie the anchors; None if one may go on beyond the slices.
+
+    A chain that is too unlike as a whole is parted at its worst gap, and so on.
+    """
+    a, b, ax, by = mine["words"].split(), hub["words"].split(), mine["first"], hub["first"]
+    gaps = []  # edits before each anchor
+    for i, (x, y) in enumerate(zip(xs, ys)):
         if a[x - ax : x - ax + k] != b[y - by : y - by + k]:
-            return None  # another text of the same id, or a hash that two shingles share
-        if at is not None and (x > at[0] or y > at[1]):
-            wrong += edits(a[max(0, at[0] - ax) : x - ax], b[max(0, at[1] - by) : y - by])
-        if at is not None:  # anchors that overlap by different amounts hide an insertion
-            wrong += abs(min(0, x - at[0]) - min(0, y - at[1]))
-        at = (x + k, y + k)
-    left, w1 = stretch(a[: xs[0] - ax][::-1], b[: ys[0] - by][::-1])
-    right, w2 = stretch(a[at[0] - ax :], b[at[1] - by :])
-    return xs[0] - left, at[0] + right, ys[0] - left, at[1] + right, wrong + w1 + w2
+            return []  # another text of the same id, or a hash that two shingles share
+        px, py = (xs[i - 1] + k, ys[i - 1] + k) if i else (x, y)
+        # anchors that overlap by different amounts hide an insertion
+        gaps.append(edits(a[px - ax : max(x, px) - ax], b[py - by : max(y, py) - by]) + abs(min(0, x - px) - min(0, y - py)))
+    found, todo = [], [(0, len(xs))]
+    while todo:
+        i, j = todo.pop()
+        (x, y), (u, v) = (xs[i], ys[i]), (xs[j - 1] + k, ys[j - 1] + k)
+        left, w1, out1 = stretch(a[: x - ax][::-1], b[: y - by][::-1])
+        right, w2, out2 = stretch(a[u - ax :], b[v - by :])
+        # the list that ended first was cut off there, not the text
+        cut1 = ax > 0 if x - ax < y - by else by > 0 if x - ax > y - by else ax > 0 and by > 0
+        rest, other = len(a) - (u - ax), len(b) - (v - by)
+        ends, other_ends = ax + len(a) < mine["n"], by + len(b) < hub["n"]
+        cut2 = ends if rest < other else other_ends if rest > other else ends and other_ends
+        if out1 and cut1 or out2 and cut2:
+            return None
+        n, m = u + right - x + left, v + right - y + left
+        alike = 1 - (sum(gaps[i + 1 : j]) + w1 + w2) / max(n, m)
+        if min(n, m) >= min_words and alike >= similarity:
+            found.append((x - left, u + right, y - left, v + right, alike))
+        elif j - i > 1 and alike < similarity:
+            at = max(range(i + 1, j), key=gaps.__getitem__)
+            todo += [(i, at), (at, j)]
+    return found

@@ -242,4 +242,62 @@ def test_edits():
     w = lambda s: list(s)
     assert substring_dedup.edits(w("kitten"), w("sitting")) == 3
     assert substring_dedup.edits([], w("abc")) == 3
-    assert substring_dedup.stretch(w("abcdexyz"), w("abcdeuvw")) == (5, 0)
+    assert substring_dedup.stretch(w("abcdexyz"), w("abcdeuvw")) == (5, 0, False)
+    assert substring_dedup.stretch(w("abcde"), w("abcdeuvw")) == (5, 0, True)
+
+
+def found_runs(spark, rows, id_type="long"):
+    """Every 50 words that two documents share, per holder, and whether a row covers one of its places there."""
+    found = substring_dedup.repeated_passages(spark.createDataFrame(rows, f"doc_id {id_type}, text string")).collect()
+    spans = defaultdict(list)
+    for r in found:
+        spans[r.doc_id].append((r.start, r.end))
+        spans[r.other_id].append((r.other_start, r.other_end))
+    places = defaultdict(lambda: defaultdict(list))
+    for i, t in rows:
+        w = words_of(t)
+        for p in range(len(w) - 49):
+            places[tuple(w[p : p + 50])][i].append(p)
+    held = {(i, tuple(ps)): any(s <= p and p + 50 <= e for p in ps for s, e in spans[i]) for who in places.values() if len(who) > 1 for i, ps in who.items()}
+    return found, held
+
+
+def test_passages_whose_halves_are_elsewhere(spark):
+    """3 and 4 share 90 words of which 1 and 2 hold a half each; 12 to 14 share 60 words, with halves in 10 and 11."""
+    import random
+
+    rng = random.Random(4)
+    new = lambda n: ["".join(rng.choice("abcdefghijkl") for _ in range(7)) for _ in range(n)]
+    whole, other = new(90), new(60)
+    docs = {1: new(20) + whole[:45] + new(9), 2: new(3) + whole[45:] + new(30), 3: new(11) + whole + new(8), 4: whole + new(40)}
+    docs |= {10: other[:30] + new(30), 11: new(12) + other[30:], 12: new(5) + other, 13: other + new(7), 14: new(20) + other + new(20)}
+    found, held = found_runs(spark, [(i, " ".join(w)) for i, w in docs.items()])
+    assert len(held) == 2 * 41 + 3 * 11 and all(held.values())
+    assert {(r.doc_id, r.other_id) for r in found} >= {(4, 3), (13, 12), (14, 12)}
+    assert all(r.n_words >= 50 for r in found)
+    found, held = found_runs(spark, [(f"id{i:02}", " ".join(w)) for i, w in docs.items()], "string")
+    assert all(held.values()) and {(r.doc_id, r.other_id) for r in found} >= {("id04", "id03"), ("id13", "id12")}
+
+
+def test_every_shared_run_is_covered(spark):
+    """Random tables: several passages a pair at any distance, nested and overlapping cuts of them, edits between, long agreeing ends."""
+    import random
+
+    n = 0
+    for seed in range(3):
+        rng = random.Random(seed)
+        new = lambda k: ["".join(rng.choice("abcdefghijkl") for _ in range(rng.choice((1, 2, 5)))) for _ in range(k)]  # noqa: E731, B023
+        sources = [new(rng.choice((60, 120, 400, 1500))) for _ in range(8)]
+        rows = []
+        for i in range(60):
+            words = new(rng.randrange(40))
+            for _ in range(rng.randrange(1, 5)):
+                s = rng.choice(sources)
+                a = rng.randrange(len(s) - 20)
+                words += s[a : a + rng.choice((25, 40, 55, 90, 700))] + new(rng.choice((0, 3, 30, 100, 200)))
+            rows.append((i, " ".join(words)))
+        _, held = found_runs(spark, rows)
+        n += len(held)
+        lost = [k for k, v in held.items() if not v]
+        assert not lost, (seed, len(lost), len(held), sorted({i for i, _ in lost}))
+    assert n > 1000
