@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 from epiframe.llm.common import staged, text_key
 
 #: Fixed: 0-9, a-z and all bytes from 128 are word bytes, A-Z are lower-cased, all others part words.
-_TO_WORDS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
+TO_WORDS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_TO_WORDS).split()
+    return (text or "").encode("utf-8", "surrogatepass").translate(TO_WORDS).split()
 
 
 def windows_of(items: pd.DataFrame, width: int) -> dict[tuple[bytes, ...], set[str]]:

@@ -33,13 +33,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from epiframe.llm.common import discard, staged
-from epiframe.llm.decontaminate import words_of
+from epiframe.llm.decontaminate import TO_WORDS, words_of
 
 #: Words that are fetched beyond a chain's ends at first, to stretch them; where they all agree, more are.
 MARGIN = 40
@@ -48,12 +47,51 @@ CUTS = 400
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, zip(*(words[i:] for i in range(k))))), dtype=np.uint64, count=max(0, len(words) - k + 1))
+def _table() -> np.ndarray:
+    """A number for each byte at each of 64 places in a word."""
+    x = np.arange(1, 64 * 256 + 1, dtype=np.uint64) * _GOLD
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(27))
 
 
-def minimizers(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes (signed), word positions, numbers and ends of the seeds.
+_BYTES = _table()
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A hash of each word of ``words_of(text)``, all at once: a sum of numbers by byte and place, mixed with the word's length."""
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(TO_WORDS), np.uint8)
+    at = np.flatnonzero(data != 32)
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    first = np.flatnonzero(np.append(True, np.diff(at) > 1))
+    length = np.diff(np.append(first, len(at)))
+    place = at - np.repeat(at[first], length)
+    h = np.add.reduceat(_BYTES[((place & 63) << 8) | data[at]], first)
+    h = (h ^ length.astype(np.uint64)) * _GOLD
+    return h ^ (h >> np.uint64(31))
+
+
+def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all k consecutive words, mixed from those of the words in their order."""
+    n = max(0, len(words) - k + 1)
+    h = np.zeros(n, np.uint64)
+    for j in range(k if n else 0):
+        h = (h ^ words[j : j + n]) * _GOLD
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def sliding(f: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """``f`` (minimum or maximum) over every ``width`` neighbours, by doubling."""
+    span = 1
+    while 2 * span <= width:
+        x = f(x[:-span], x[span:])
+        span *= 2
+    return f(x[: len(x) - (width - span)], x[width - span :]) if span < width else x
+
+
+def minimizers(words: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (signed), word positions, numbers and ends of the seeds of a text's word hashes.
 
     Where one hash is the minimum over and over, as in a repeated word or line, it is a seed once a window; its end is the last
     position that it stands for. A hash that occurs again in the text is also a seed under its ordinal (and without a number: -1), so that the
@@ -66,7 +104,9 @@ def minimizers(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.
     if n <= window:
         at = np.array([h.argmin()])
     else:
-        at = np.unique(np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1) + np.arange(n - window + 1))
+        # the least of each window, and where a hash is the least of any window that holds it
+        least = np.pad(sliding(np.minimum, h, window), window - 1)
+        at = np.flatnonzero(sliding(np.maximum, least, window) == h)
     h = h[at]
     new_run = np.append(True, h[1:] != h[:-1])
     run_start = at[np.flatnonzero(new_run)][np.cumsum(new_run) - 1]
@@ -88,7 +128,7 @@ def minimizers(words: list[bytes], k: int, window: int) -> tuple[np.ndarray, np.
 class Windows:
     """Hashes of windows of a text, for positions from ``lo`` to ``hi``."""
 
-    def __init__(self, words: list[bytes], lo: int, hi: int, k: int):
+    def __init__(self, words: np.ndarray, lo: int, hi: int, k: int):
         self.lo, self.k = max(0, lo), k
         self.parts = shingle_hashes(words[self.lo : max(0, hi)], k)
 
@@ -102,7 +142,7 @@ class Windows:
         return h.view(np.int64)
 
 
-def long_seeds(words: list[bytes], at: list[int], doc: int, k: int, length: int, around: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def long_seeds(words: np.ndarray, at: list[int], doc: int, k: int, length: int, around: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the seeds at those of the positions ``at`` that have ``length`` words, the positions, and hashes of their surroundings.
 
     Surroundings are ``around`` words more on either side; those of a seed too near to an end are like no other document's.
@@ -117,7 +157,7 @@ def long_seeds(words: list[bytes], at: list[int], doc: int, k: int, length: int,
     return wide, at.astype(np.int32), wide
 
 
-def windows_near(words: list[bytes], at: list[int], k: int, length: int, before: int) -> tuple[np.ndarray, np.ndarray]:
+def windows_near(words: np.ndarray, at: list[int], k: int, length: int, before: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and positions of all windows of ``length`` words that begin at one of ``at`` or up to ``before`` words earlier."""
     at = np.unique(np.array(at, np.int64)[:, None] - np.arange(before + 1))
     at = at[(at >= 0) & (at + length <= len(words))]
@@ -250,7 +290,7 @@ def seeds(texts: DataFrame, k: int, window: int) -> DataFrame:
         for whole in batches:
             for at in range(0, len(whole), 1000):
                 b = whole.slice(at, 1000)
-                yield _rows(b, [minimizers(words_of(t.as_py()), k, window) for t in b.column(1)], ["h", "doc", "pos", "number", "last"])
+                yield _rows(b, [minimizers(word_hashes(t.as_py()), k, window) for t in b.column(1)], ["h", "doc", "pos", "number", "last"])
 
     return texts.mapInArrow(run, "h long, doc long, pos int, number int, last int")
 
@@ -346,12 +386,12 @@ def repeated_passages(
     runs = runs.select("doc", F.filter("at", lambda p: p <= F.col("last") - inner).alias("at")).where(F.size("at") > 0)
     places = runs.groupBy("doc").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("at"))  # no longer than the document
 
-    def at_places(places: DataFrame, hashes: Callable[[list[bytes], list[int], int], tuple[np.ndarray, ...]], names: list[str], kinds: str) -> DataFrame:
+    def at_places(places: DataFrame, hashes: Callable[[np.ndarray, list[int], int], tuple[np.ndarray, ...]], names: list[str], kinds: str) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for start in range(0, len(whole), 1000):
                     b = whole.slice(start, 1000)
-                    yield _rows(b, [hashes(words_of(t.as_py()), at, doc) for doc, t, at in zip(*(b.column(c) if c == 1 else b.column(c).to_pylist() for c in range(3)))], names)
+                    yield _rows(b, [hashes(word_hashes(t.as_py()), at, doc) for doc, t, at in zip(*(b.column(c) if c == 1 else b.column(c).to_pylist() for c in range(3)))], names)
 
         return texts.join(staged(places, "passage-runs"), "doc").select("doc", "text", "at").mapInArrow(run, kinds)
 
