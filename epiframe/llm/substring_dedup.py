@@ -397,7 +397,9 @@ def repeated_passages(
 
     def uncovered(occurrences: DataFrame, rows: DataFrame, before: int, after: int) -> DataFrame:
         """Those whose words, with so many more on either side, are in no passage found."""
-        spans = staged(longest_spans(rows).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "passage-spans")
+        earlier = F.max("end").over(Window.partitionBy("doc").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+        outer = longest_spans(rows).withColumn("earlier", earlier).where("earlier IS NULL OR earlier < end")  # few: none is inside another
+        spans = staged(outer.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "passage-spans")
         held = F.exists("spans", lambda s: (s["start"] <= F.greatest(F.col("pos") - before, F.lit(0))) & (s["end"] >= F.col("pos") + after))
         return staged(occurrences.join(spans, "doc", "left").where(~F.coalesce(held, F.lit(False))).drop("spans"), "passage-open")
 
