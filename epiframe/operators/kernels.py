@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -175,16 +176,60 @@ def histogram_entropy(values: np.ndarray) -> float:
     return float((np.log(n) - counts @ np.log(counts) / n) / np.log(max(2, len(counts))))
 
 
-def knn_entropy(x: np.ndarray, k: int = 5, cap: int = 5000) -> float:
-    """Entropy of the histogram of k-th neighbour distances over the log of its filled bins; a seeded sample above ``cap`` rows."""
-    if len(x) > cap:
-        x = x[np.random.default_rng(0).choice(len(x), cap, replace=False)]
-    k, dist = min(k, max(1, len(x) - 1)), []
-    square = (x * x).sum(axis=1)
-    for at in range(0, len(x), 512):
-        d = np.maximum(square[at : at + 512, None] + square[None] - 2 * x[at : at + 512] @ x.T, 0)
-        d[np.arange(len(d)), at + np.arange(len(d))] = 0
-        dist.append(np.sqrt(np.partition(d, min(k, d.shape[1] - 1), axis=1)[:, min(k, d.shape[1] - 1)]))
-    near = np.concatenate(dist)
+def nearest(q: np.ndarray, blocks: Iterable[tuple[int | None, np.ndarray, np.ndarray]], k: int, rows: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances of the ``k`` nearest other vectors of each of ``q``, and how often each of those occurs.
+
+    A block is distinct vectors and their numbers of copies, behind the row of ``q`` that its first vector is, if they are rows of ``q``.
+    A matrix product gives a lower bound of each distance; where it is not above the k-th found, the distance is taken exactly.
+    """
+    best, copies = np.full((len(q), k), np.inf), np.zeros((len(q), k), np.int64)
+    less = 1 - 4 * (q.shape[1] + 4) * np.finfo(float).eps
+    square = less * (q * q).sum(axis=1)
+
+    def exact(i: np.ndarray, x: np.ndarray, j: np.ndarray) -> np.ndarray:
+        parts = [((q[i[at : at + 65536]] - x[j[at : at + 65536]]) ** 2).sum(axis=1) for at in range(0, len(i), 65536)]
+        return np.concatenate([*parts, np.zeros(0)])
+
+    for at, x, n in blocks:
+        other = less * (x * x).sum(axis=1)
+        for s in range(0, len(q), rows):
+            low = square[s : s + rows, None] + other[None] - 2 * q[s : s + rows] @ x.T
+            top = best[s : s + rows, -1]
+            own = np.arange(max(s, at), min(s + len(low), at + len(x))) if at is not None else np.zeros(0, int)
+            low[own - s, own - (at or 0)] = np.inf
+            if len(x) > k and np.isinf(top).any():
+                near = np.argpartition(low, k, axis=1)[:, :k]
+                d = exact(s + np.repeat(np.arange(len(low)), k), x, near.ravel()).reshape(-1, k)
+                top = np.minimum(top, np.where(np.isinf(np.take_along_axis(low, near, 1)), np.inf, d).max(axis=1))
+            mask = ~(low > top[:, None])
+            mask[own - s, own - (at or 0)] = False
+            i, j = np.nonzero(mask)
+            if not len(i):
+                continue
+            hit = np.unique(i)
+            row = np.concatenate([np.repeat(hit, k), i])
+            d = np.concatenate([best[s + hit].ravel(), exact(s + i, x, j)])
+            c = np.concatenate([copies[s + hit].ravel(), n[j]])
+            order = np.lexsort((d, row))
+            row = row[order]
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            order, row, rank = order[rank < k], row[rank < k], rank[rank < k]
+            best[s + row, rank], copies[s + row, rank] = d[order], c[order]
+    return best, copies
+
+
+def kth_distance(best: np.ndarray, copies: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    """Distance to the k-th other row: 0 within the ``own`` copies of a vector, then by the copies of ``nearest``; infinite where there is none."""
+    need = k + 1 - own
+    reached = np.cumsum(copies, axis=1) >= need[:, None]
+    d = np.sqrt(best[np.arange(len(best)), reached.argmax(axis=1)])
+    return np.where(need <= 0, 0, np.where(reached.any(axis=1), d, np.inf))
+
+
+def knn_entropy(x: np.ndarray, k: int = 5) -> float:
+    """Entropy of the histogram of k-th neighbour distances of all rows over the log of its filled bins."""
+    k = min(k, max(1, len(x) - 1))
+    x, n = np.unique(x, axis=0, return_counts=True)
+    near = np.repeat(kth_distance(*nearest(x, [(0, x, n)], k), n, k), n)
     near = near[np.isfinite(near) & (near > 0)]
     return histogram_entropy(near) if len(near) >= 4 else float("nan")

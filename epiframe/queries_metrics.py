@@ -228,7 +228,7 @@ s AS (SELECT count(*) AS n, min(d) AS lo, max(d) AS hi, least(30, greatest(4, co
 h AS (SELECT least(floor((d - lo) / (hi - lo) * bins), bins - 1) AS bin, count(*) AS c FROM g, s GROUP BY 1)
 SELECT 'state' AS role, (SELECT count(*) FROM e) AS n, round((SELECT ln(n) - sum(c * ln(c)) / any_value(n) FROM h, s GROUP BY n) / ln((SELECT greatest(2, count(*)) FROM h)), 6) AS density_entropy""")
 def density_entropy(spark, sf_dir):
-    """How evenly the states lie, from neighbour distances in a bounded sample (sampling is the feature)."""
+    """How evenly the states lie, from the neighbour distances of all of them."""
     return M.density_entropy(tables.embedding_frames(spark, sf_dir), "state").select("role", "n", F.round("density_entropy", 6).alias("density_entropy"))
 
 

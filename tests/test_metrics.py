@@ -162,6 +162,35 @@ def test_knn_entropy():
     assert 0 <= K.knn_entropy(tight) < K.knn_entropy(even) <= 1 and np.isnan(K.knn_entropy(np.zeros((3, 2))))
 
 
+def brute_entropy(x, k=5):
+    near = np.array([np.sort(np.sqrt(((x - r) ** 2).sum(axis=1)))[k] for r in x])
+    return K.histogram_entropy(near[near > 0])
+
+
+def test_density_entropy_takes_all_rows(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(5400, 4)), rng.normal(100, 0.01, (400, 4)), np.repeat(rng.normal(size=(3, 4)), [2, 4, 300], axis=0)])
+    f = spark.createDataFrame([(0, i, r.tolist()) for i, r in enumerate(x)], "episode long, frame long, state array<double>")
+    odd = spark.createDataFrame([(1, 0, None), (1, 1, [1.0]), (1, 2, [1.0, None, 2.0, 3.0]), (1, 3, [float("nan")] * 4)], f.schema)
+    for rows, n in ((f, len(x)), (f.union(odd), len(x) + 4)):
+        r = M.density_entropy(rows, "state").collect()
+        assert len(r) == 1 and r[0].n == n and abs(r[0].density_entropy - brute_entropy(x)) < 1e-9
+    r = M.density_entropy(f.where("frame >= 5806"), "state").first()  # copies of one vector alone
+    assert r.n == 300 and r.density_entropy is None
+    r = M.density_entropy(f.limit(0), "state").first()
+    assert r.n == 0 and r.density_entropy is None
+
+
+def test_nearest_over_blocks():
+    rng = np.random.default_rng(4)
+    for x in (rng.normal(size=(300, 3)), np.unique(rng.integers(0, 5, (200, 3)), axis=0) + 1e7, np.concatenate([rng.normal(size=(90, 3)), [[1e9, 0, 0]]])):
+        for q in (x, x[:70]):
+            blocks = [(0, q[:7], np.ones(7, int)), (7, q[7:], np.ones(len(q) - 7, int))] + [(None, x[at : at + 64], np.ones(len(x[at : at + 64]), int)) for at in range(len(q), len(x), 64)]
+            best, copies = K.nearest(q, blocks, 5, rows=32)
+            full = np.sort(((q[:, None] - x[None]) ** 2).sum(axis=2), axis=1)[:, 1:6]
+            assert np.array_equal(best, full) and (copies == 1).all()
+
+
 def test_effective_dim(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 1)) * np.ones((1, 4)) + rng.normal(size=(200, 4)) * 0.01
