@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epiframe.sources.shared import discard, new_path, shared_dir, staged  # noqa: F401
+from epiframe.sources.shared import bucketed, discard, new_path, shared_dir, staged  # noqa: F401
 
 #: The white space that separates words in the contracts, as trim characters.
 BLANKS = " \t\n\x0b\x0c\r"

@@ -16,8 +16,8 @@ long seed in different surroundings and some are still not covered, all ``min_wo
 the steps before.
 
 The first of a passage's documents is found as the hub of the others; a passage that its document repeats
-within itself alone is no match. Joins on a common seed or hub are ones that AQE splits, and a hub's text is cut for a bounded number of
-chains at a time.
+within itself alone is no match. Joins on a common seed are ones that AQE splits. Texts are moved once, into a table
+bucketed by document; a join with it is not split, but a hub's text is cut for a bounded number of chains at a time.
 
 Defined results: null or empty texts and rows with a null id have no passages; repeated rows of one id are
 one document (its texts' seeds are pooled, the first text by order is aligned); equal texts are passages like others; an empty table gives an
@@ -37,13 +37,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from epiframe.llm.common import discard, staged
+from epiframe.llm.common import bucketed, discard, staged
 from epiframe.llm.decontaminate import TO_WORDS, words_of
 
 #: Words that are fetched beyond a chain's ends at first, to stretch them; where they all agree, more are.
 MARGIN = 40
 #: Chains of one text that are cut together.
 CUTS = 400
+#: Bytes of texts whose seeds are found together.
+TOGETHER = 1 << 18
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -57,18 +59,35 @@ def _table() -> np.ndarray:
 _BYTES = _table()
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A hash of each word of ``words_of(text)``, all at once: a sum of numbers by byte and place, mixed with the word's length."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(TO_WORDS), np.uint8)
+def words_hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word of ``words_of`` of all texts, one text behind the other, and the number of words of each text.
+
+    A hash is a sum of numbers by byte and place, mixed with the word's length.
+    """
+    data = np.frombuffer(b" ".join(texts).translate(TO_WORDS), np.uint8)
     at = np.flatnonzero(data != 32)
     if not len(at):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
     first = np.flatnonzero(np.append(True, np.diff(at) > 1))
-    length = np.diff(np.append(first, len(at)))
-    place = at - np.repeat(at[first], length)
+    starts, length = at[first], np.diff(np.append(first, len(at)))
+    place = at - np.repeat(starts, length)
     h = np.add.reduceat(_BYTES[((place & 63) << 8) | data[at]], first)
     h = (h ^ length.astype(np.uint64)) * _GOLD
-    return h ^ (h >> np.uint64(31))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return h ^ (h >> np.uint64(31)), np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
+def together(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``words_hashed`` of TOGETHER bytes or so at once, behind the index of the first text."""
+    part = np.cumsum([len(t) for t in texts]) // TOGETHER
+    cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for first, last in zip(cuts, [*cuts[1:], len(texts)]):
+        yield first, *words_hashed(texts[first:last])
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A hash of each word of ``words_of(text)``."""
+    return words_hashed([text.encode("utf-8", "surrogatepass")])[0]
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -91,38 +110,53 @@ def sliding(f: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
 
 
 def minimizers(words: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes (signed), word positions, numbers and ends of the seeds of a text's word hashes.
+    """``minimizers_of`` a single text, without its number."""
+    h, _, *rest = minimizers_of(words, np.array([len(words)]), k, window)
+    return h, *rest
+
+
+def minimizers_of(words: np.ndarray, counts: np.ndarray, k: int, window: int) -> tuple[np.ndarray, ...]:
+    """Hashes (signed), texts, word positions, numbers and ends of the seeds of texts of ``counts`` word hashes, one behind the other.
 
     Where one hash is the minimum over and over, as in a repeated word or line, it is a seed once a window; its end is the last
     position that it stands for. A hash that occurs again in the text is also a seed under its ordinal (and without a number: -1), so that the
     second repeat meets another text's second repeat, and repetitive passages chain like others.
     """
-    h = shingle_hashes(words, k)
-    n = len(h)
-    if n < 1:
-        return np.zeros(0, np.int64), *[np.zeros(0, np.int32)] * 3
-    if n <= window:
-        at = np.array([h.argmin()])
-    else:
+    n = np.maximum(counts - k + 1, 0)
+    total = n.sum()
+    if not total:
+        return np.zeros(0, np.int64), *[np.zeros(0, np.int32)] * 4
+    # shingles inside a text, their texts and places there
+    text, begin = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
+    pos = np.arange(total) - begin[text]
+    h = shingle_hashes(words, k)[pos + (np.cumsum(counts) - counts)[text]]
+    wide = n > window
+    picked = np.zeros(total, bool)
+    if wide.any():
         # the least of each window, and where a hash is the least of any window that holds it
-        least = np.pad(sliding(np.minimum, h, window), window - 1)
-        at = np.flatnonzero(sliding(np.maximum, least, window) == h)
-    h = h[at]
-    new_run = np.append(True, h[1:] != h[:-1])
+        whole = (wide[text] & (pos + window <= n[text]))[: total - window + 1]
+        least = np.pad(np.where(whole, sliding(np.minimum, h, window), 0), window - 1)
+        picked = wide[text] & (sliding(np.maximum, least, window) == h)
+    if not wide.all():
+        some = np.flatnonzero(n)
+        least = np.flatnonzero(~wide[text] & (h == np.repeat(np.minimum.reduceat(h, begin[some]), n[some])))
+        picked[least[np.append(True, text[least][1:] != text[least][:-1])[: len(least)]]] = True
+    h, text, at = h[picked], text[picked], pos[picked]
+    new_run = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))
     run_start = at[np.flatnonzero(new_run)][np.cumsum(new_run) - 1]
     step = (at - run_start) // window
     keep = np.flatnonzero(new_run | np.append(True, step[1:] != step[:-1]))
     end = at[np.append(keep[1:], len(at)) - 1]
-    h, at = h[keep], at[keep]
-    order = np.argsort(h, kind="stable")
-    ranked = h[order]
-    first = np.append(True, ranked[1:] != ranked[:-1])
+    h, text, at = h[keep], text[keep], at[keep]
+    order = np.lexsort((h, text))
+    ranked, of = h[order], text[order]
+    first = np.append(True, (ranked[1:] != ranked[:-1]) | (of[1:] != of[:-1]))
     ordinal = np.empty(len(h), np.uint64)
     ordinal[order] = np.arange(len(h)) - np.flatnonzero(first)[np.cumsum(first) - 1]
     again = ordinal > 0
     h = np.concatenate([h, (h[again] ^ (ordinal[again] * _GOLD)) * _GOLD])
-    number = np.append(np.arange(len(at)), np.full(again.sum(), -1))
-    return h.view(np.int64), *(v.astype(np.int32) for v in (np.append(at, at[again]), number, np.append(end, end[again])))
+    number = np.append(np.arange(len(at)) - np.searchsorted(text, text), np.full(again.sum(), -1))
+    return h.view(np.int64), *(v.astype(np.int32) for v in (np.append(text, text[again]), np.append(at, at[again]), number, np.append(end, end[again])))
 
 
 class Windows:
@@ -249,6 +283,13 @@ def edits(a: list[bytes], b: list[bytes]) -> int:
     """Edit distance of two short word lists."""
     if a == b:
         return 0
+    # what both begin or end with costs nothing
+    least = min(len(a), len(b))
+    i = next((i for i in range(least) if a[i] != b[i]), least)
+    j = next((j for j in range(least - i) if a[-1 - j] != b[-1 - j]), least - i)
+    a, b = a[i : len(a) - j], b[i : len(b) - j]
+    if len(a) <= 1 and len(b) <= 1:
+        return 1
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         last, row[0] = row[0], i
@@ -262,13 +303,19 @@ def stretch(a: list[bytes], b: list[bytes], drop: int = 6) -> tuple[int, int, bo
 
     +1 an equal word, -3 another, until the score falls by ``drop``.
     """
-    score = best = length = wrong = missed = 0
-    for i, (x, y) in enumerate(zip(a, b), 1):
-        if x == y:
+    score = best = length = wrong = missed = i = 0
+    least = min(len(a), len(b))
+    while i < least:
+        if a[i : i + 16] == b[i : i + 16]:
+            score += len(a[i : i + 16])
+            i += len(a[i : i + 16])
+        elif a[i] == b[i]:
             score += 1
+            i += 1
         else:
             score -= 3
             missed += 1
+            i += 1
         if score > best:
             best, length, wrong = score, i, missed
         if score < best - drop:
@@ -285,12 +332,15 @@ def _rows(b: pa.RecordBatch, found: list[tuple[np.ndarray, ...]], names: list[st
 
 def seeds(texts: DataFrame, k: int, window: int) -> DataFrame:
     """``h, doc, pos, number, last`` of the minimizers of ``doc, text``."""
+    names = ["h", "doc", "pos", "number", "last"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, len(whole), 1000):
                 b = whole.slice(at, 1000)
-                yield _rows(b, [minimizers(word_hashes(t.as_py()), k, window) for t in b.column(1)], ["h", "doc", "pos", "number", "last"])
+                for first, words, counts in together(b.column(1).cast(pa.binary()).to_pylist()):
+                    h, text, *rest = minimizers_of(words, counts, k, window)
+                    yield pa.RecordBatch.from_arrays([pa.array(h), b.column(0).take(pa.array(text + first)), *(pa.array(v) for v in rest)], names)
 
     return texts.mapInArrow(run, "h long, doc long, pos int, number int, last int")
 
@@ -329,12 +379,16 @@ def chained(anchors: DataFrame, k: int, max_gap: int, min_anchors: int) -> DataF
 
         def chains(pdf: pd.DataFrame) -> pd.DataFrame:
             out = []
-            for (doc, other), g in pdf.drop_duplicates().groupby(["doc", "other"], sort=False):
-                if len(g) < min_anchors:
-                    continue
-                x, y = g.pos.tolist(), g.other_pos.tolist()
-                for c in chain(x, y, k, max_gap=max_gap, min_anchors=min_anchors):
-                    out.append((doc, other, [x[m] for m in c], [y[m] for m in c]))
+            rows = [pdf[c].to_numpy() for c in ("doc", "other", "pos", "other_pos")]
+            new = [np.append(True, c[1:] != c[:-1])[: len(c)] for c in rows]
+            once = new[0] | new[1] | new[2] | new[3]
+            doc, other, x, y = (c[once] for c in rows)
+            starts = np.flatnonzero((new[0] | new[1])[once])
+            sizes = np.diff(np.append(starts, len(doc)))
+            for at, n in zip(starts[sizes >= min_anchors].tolist(), sizes[sizes >= min_anchors].tolist()):
+                xs, ys = x[at : at + n].tolist(), y[at : at + n].tolist()
+                for c in chain(xs, ys, k, max_gap=max_gap, min_anchors=min_anchors):
+                    out.append((doc[at], other[at], [xs[m] for m in c], [ys[m] for m in c]))
             return pd.DataFrame(out, columns=["doc", "other", "xs", "ys"])
 
         for b in batches:
@@ -377,6 +431,7 @@ def repeated_passages(
         return rows
 
     shared = in_several(seeds(texts, k, window))
+    texts = bucketed(texts, "passage-texts", "doc")  # they are moved once, and not again for each join below
     first = found_by(hub_anchors(shared.where("doc <> hub"), shared))
 
     # runs of common seeds: min_words equal words are inside one, and their first seed is at least `inner` words before its end
@@ -391,7 +446,8 @@ def repeated_passages(
             for whole in batches:
                 for start in range(0, len(whole), 1000):
                     b = whole.slice(start, 1000)
-                    yield _rows(b, [hashes(word_hashes(t.as_py()), at, doc) for doc, t, at in zip(*(b.column(c) if c == 1 else b.column(c).to_pylist() for c in range(3)))], names)
+                    hashed = (w for _, words, counts in together(b.column(1).cast(pa.binary()).to_pylist()) for w in np.split(words, np.cumsum(counts)[:-1]))
+                    yield _rows(b, [hashes(w, at, doc) for doc, w, at in zip(b.column(0).to_pylist(), hashed, b.column(2).to_pylist())], names)
 
         return texts.join(staged(places, "passage-runs"), "doc").select("doc", "text", "at").mapInArrow(run, kinds)
 
@@ -421,7 +477,7 @@ def repeated_passages(
     near = long_shared.join(mixed, "h").groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     exact_shared = in_several(at_places(near, lambda words, at, doc: windows_near(words, at, k, min_words, around), ["h", "doc", "pos"], "h long, doc long, pos int"))
     third = found_by(along(hub_anchors(uncovered(exact_shared, so_far, 0, min_words), exact_shared), min_words))
-    discard(shared, long_shared, exact_shared)
+    discard(shared, long_shared, exact_shared, texts)
 
     # chains that end up as one passage are one; a passage of a later step counts where none of an earlier one holds it
     found = first.withColumn("step", F.lit(0)).union(second.withColumn("step", F.lit(1))).union(third.withColumn("step", F.lit(2)))
@@ -464,11 +520,18 @@ def aligned(chains: DataFrame, texts: DataFrame, k: int, margin: int, min_words:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["chain", "side", "first", "n", "words"]
+        made = lambda out: pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(zip(*out), [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()])], names)
+        out, held = [], 0
         for b in batches:
             for t, cuts in zip(b.column(0), b.column(1).to_pylist()):
                 words = words_of(t.as_py())
-                out = [(c["chain"], c["side"], max(0, c["lo"] - margin), len(words), b" ".join(words[max(0, c["lo"] - margin) : c["hi"] + margin])) for c in cuts]
-                yield pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(zip(*out), [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()])], names)
+                out += [(c["chain"], c["side"], max(0, c["lo"] - margin), len(words), b" ".join(words[max(0, c["lo"] - margin) : c["hi"] + margin])) for c in cuts]
+                held += sum(len(r[4]) for r in out[-len(cuts) :])
+                if held > TOGETHER or len(out) > 10000:
+                    yield made(out)
+                    out, held = [], 0
+        if out:
+            yield made(out)
 
     slices = wanted.join(texts.withColumnRenamed("doc", "owner"), "owner").select("text", "cuts").mapInArrow(cut, "chain long, side int, first int, n int, words binary")
     # a chain, its document's slice, its hub's
@@ -483,17 +546,18 @@ def aligned(chains: DataFrame, texts: DataFrame, k: int, margin: int, min_words:
         kinds = [*[pa.int64()] * 7, pa.float64(), pa.bool_()]
         for b in batches:
             out = []
-            for r in b.to_pylist():
-                if r["side"] < 0:
-                    who, mine = r, None
-                elif r["side"] == 0:
+            for number, side, first, n, words, doc, other, xs, ys in zip(*(c.to_pylist() for c in b.columns)):
+                r = {"first": first, "n": n, "words": words}
+                if side < 0:
+                    who, mine = (doc, other, xs, ys), None
+                elif side == 0:
                     mine = mine or r  # of several texts of one id the first
                 elif mine:
-                    got = passages(who["xs"], who["ys"], mine, r, k, min_words, similarity)
+                    got = passages(*who[2:], mine, r, k, min_words, similarity)
                     if got is None:
-                        out.append((r["chain"], *[None] * 7, True))
+                        out.append((number, *[None] * 7, True))
                     else:
-                        out += [(r["chain"], who["doc"], who["other"], *g, False) for g in got]
+                        out += [(number, *who[:2], *g, False) for g in got]
                     mine = None
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(list(zip(*out)) or [()] * len(names), kinds)], names)
 

@@ -38,9 +38,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``staged``, but dealt by ``key`` as joins deal rows: a join on it reads this table where it lies and moves the other side alone."""
+    spark = df.sparkSession
+    path, n, table = new_path(spark, name), int(spark.conf.get("spark.sql.shuffle.partitions")), f"epiframe_{uuid.uuid4().hex}"
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table, format="parquet")
+    _at(spark, path, lambda fs, p: fs.deleteOnExit(p))
+    out = spark.table(table)
+    out._staged_at, out._staged_as = path, table
+    return out
+
+
 def discard(*tables: DataFrame) -> None:
-    """Delete what ``staged`` wrote for tables that nothing reads any more."""
+    """Delete what ``staged`` or ``bucketed`` wrote for tables that nothing reads any more."""
     for t in tables:
+        if name := getattr(t, "_staged_as", None):
+            t.sparkSession.sql(f"DROP TABLE {name}")
         _at(t.sparkSession, t._staged_at, lambda fs, p: fs.delete(p, True))
 
 

@@ -1,4 +1,5 @@
 import itertools
+import random
 from collections import defaultdict
 
 import xxhash
@@ -301,3 +302,33 @@ def test_every_shared_run_is_covered(spark):
         lost = [k for k, v in held.items() if not v]
         assert not lost, (seed, len(lost), len(held), sorted({i for i, _ in lost}))
     assert n > 1000
+
+
+def test_substring_texts_are_moved_once(spark, monkeypatch):
+    """Joins of texts with what is cut from them read a table that lies by document already."""
+    plans, write = [], substring_dedup.staged
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(substring_dedup, "staged", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = spark.catalog.listTables()
+        assert substring_dedup.repeated_passages(fx.docs(spark)).count() > 0
+        assert len(spark.catalog.listTables()) == len(tables)  # it is gone again
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    aligned = [p for name, p in plans if name == "passage-aligned"]
+    assert aligned and all("SelectedBucketsCount" in p for p in aligned)
+
+
+def test_seeds_of_texts_together_are_those_of_each():
+    rng = random.Random(5)
+    texts = ["", "a", "a b c d e", "x " * 400, "one two three four five six " * 40, *(fx.prose(rng, n) for n in (3, 19, 20, 21, 22, 90, 400))] * 2
+    h, text, *rest = substring_dedup.minimizers_of(*substring_dedup.words_hashed([t.encode() for t in texts]), 5, 16)
+    for i, t in enumerate(texts):
+        alone = substring_dedup.minimizers(substring_dedup.word_hashes(t), 5, 16)
+        assert sorted(zip(*(v[text == i].tolist() for v in (h, *rest)))) == sorted(zip(*(v.tolist() for v in alone)))
